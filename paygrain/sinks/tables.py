@@ -6,11 +6,13 @@ incremental batch replaces only the partitions that its keys touch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.snapshots import first_snapshot, is_open, merge_open_versions
-from ..operators.upserts import delete_insert
+from ..operators.upserts import delete_insert, newest_wins
 from ..sources import files
 
 
@@ -28,13 +30,18 @@ def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None
     files.replace(df.sparkSession, fresh, path)
 
 
-def upsert_partitions(batch: DataFrame, path: str, key: str, partition: str) -> None:
+def upsert_partitions(
+    batch: DataFrame, path: str, key: str, partition: str, newest_first: Sequence[Column] | None = None
+) -> None:
     """Delete-and-insert by ``key`` into a table partitioned by ``partition``.
 
     The partitions to rewrite are those the batch falls into and those where its keys
     now lie. Finding them reads two columns; the rest of the table is not touched. Spark
     stages the new partitions and swaps them in when the job commits. Running the same
     batch twice leaves the same table. The partition column must not be NULL.
+
+    With ``newest_first`` a key keeps its newest row of table and batch under that
+    order, for batches that may hold older versions than the table does.
     """
     spark = batch.sparkSession
     target = _read(spark, path)
@@ -47,7 +54,11 @@ def upsert_partitions(batch: DataFrame, path: str, key: str, partition: str) ->
     if not touched:
         return
     affected = target.where(F.col(partition).isin(touched))
-    merged = delete_insert(affected, batch.select(*target.columns), key)
+    fresh = batch.select(*target.columns)
+    if newest_first is None:
+        merged = delete_insert(affected, fresh, key)
+    else:
+        merged = newest_wins(affected, fresh, key, newest_first)
     # A dynamic overwrite replaces only partitions it writes rows to, so those that lose
     # their last row are found first and removed afterwards.
     kept = {r[0] for r in merged.select(partition).distinct().collect()}
