@@ -8,6 +8,7 @@ re-running or retrying a task gives the same rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,11 +46,13 @@ def annual_events(df: DataFrame, start: str, end: str, first_year: Column, last_
 def compound_growth(df: DataFrame, entity: str, order: str, pct: str, base: str, out: str) -> DataFrame:
     """``base`` times the running product of (1 + pct), rounded to money.
 
-    At most one event per entity and year, so an entity's rows fit one window.
+    The product is the exponential of a running sum of logarithms. It is cut to ten
+    decimals before it meets the amount, so that the noise of floating point does not
+    decide how half a cent is rounded. At most one event per entity and year, so an entity's rows fit one window.
     """
     upto = Window.partitionBy(entity).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     factor = F.exp(F.sum(F.log(F.lit(1.0) + F.col(pct))).over(upto))
-    return df.withColumn(out, money(F.round(F.col(base).cast("double") * factor, 2)))
+    return df.withColumn(out, money(F.col(base).cast("decimal(16,2)") * F.round(factor, 10).cast("decimal(20,10)")))
 
 
 def salary_timeline(
@@ -118,7 +121,9 @@ def _within_salary_bounds() -> Column:
 
 
 def _between(draw: Column) -> Column:
-    return F.col("min_value").cast("double") + (F.col("max_value") - F.col("min_value")).cast("double") * draw
+    """The rule's value for a draw, as a decimal: pay is never computed in floating point."""
+    span = (F.col("max_value") - F.col("min_value")).cast("decimal(18,4)")
+    return (F.col("min_value") + span * draw.cast("decimal(7,6)")).cast("decimal(16,8)")
 
 
 def rule_apply(periods: DataFrame, rules: DataFrame, draw: Draw = hashed_draw) -> DataFrame:
@@ -134,12 +139,14 @@ def rule_apply(periods: DataFrame, rules: DataFrame, draw: Draw = hashed_draw) -
     once, each = ("employment_id", "rule_id"), ("employment_id", "period_id", "rule_id")
     applies = F.when(own, draw(*once, label=0)).otherwise(draw(*each, label=0)) < F.col("probability")
     value = _between(F.when(own, draw(*once, label=1)).otherwise(draw(*each, label=1)))
-    share = F.when(F.col("pay_month").isNull(), F.col("periods_per_month")).otherwise(1)
-    salary = F.col("salary").cast("double")
+    half = F.lit(Decimal("0.5"))
+    part = F.when(F.col("periods_per_month") == 2, half).otherwise(F.lit(Decimal("1.0")))
+    share = F.when(F.col("pay_month").isNull(), part).otherwise(F.lit(Decimal("1.0")))
+    salary = F.col("salary").cast("decimal(14,2)")
     amount = (
-        F.when(F.col("method") == "SALARY", salary / F.col("periods_per_month"))
-        .when(F.col("method") == "PCT_SALARY", salary * value / share)
-        .when(F.col("method") == "FIXED", value / share)
+        F.when(F.col("method") == "SALARY", money(salary * part))
+        .when(F.col("method") == "PCT_SALARY", money(salary * value * share))
+        .when(F.col("method") == "FIXED", money(value * share))
     )
     in_month = F.col("pay_month").isNull() | (
         (F.col("pay_month") == F.col("period_month")) & F.col("is_last_of_month")
@@ -156,7 +163,7 @@ def rule_apply(periods: DataFrame, rules: DataFrame, draw: Draw = hashed_draw) -
             "concept_type",
             "salary",
             "pay_date",
-            money(F.round(amount, 2)).alias("amount"),
+            amount.alias("amount"),
         )
     )
 
@@ -185,7 +192,7 @@ def rule_second_pass(first_pass: DataFrame, rules: DataFrame, draw: Draw = hashe
             "concept_type",
             "salary",
             "pay_date",
-            money(F.round(F.col("earnings").cast("double") * value, 2)).alias("amount"),
+            money(F.col("earnings").cast("decimal(18,2)") * value).alias("amount"),
         )
     )
 
@@ -194,7 +201,7 @@ def rule_second_pass(first_pass: DataFrame, rules: DataFrame, draw: Draw = hashe
 MAX_PAYMENT_DELAY_DAYS = 15
 DRAFT_WINDOW_DAYS = 30
 CANCEL_RATE = 0.03
-VACATION_FACTOR = 0.5
+VACATION_FACTOR = Decimal("0.5")
 INDEMNITY_CAP = 12
 DAYS_PER_YEAR = 365
 
@@ -225,11 +232,11 @@ def settlement_lines(headers: DataFrame, security_rates: DataFrame) -> DataFrame
     of one header come from one row, by an array that is exploded, so the headers are
     read once instead of once per kind of line.
     """
-    salary = F.col("monthly_salary").cast("double")
-    vacation = money(F.round(salary * VACATION_FACTOR * F.col("anniversary_days") / DAYS_PER_YEAR, 2))
+    earned = F.col("monthly_salary") * F.lit(VACATION_FACTOR) * F.col("anniversary_days")
+    vacation = money(earned / F.lit(DAYS_PER_YEAR))
     years = F.least(F.greatest(F.col("full_years"), F.lit(1)), F.lit(INDEMNITY_CAP))
     indemnity = money(F.col("monthly_salary") * years)
-    security = money(F.round(vacation.cast("double") * F.col("rate").cast("double"), 2))
+    security = money(vacation * F.col("rate").cast("decimal(5,4)"))
 
     def line(code: str, amount: Column) -> Column:
         return F.struct(F.lit(code).alias("concept_code"), amount.alias("amount"))

@@ -1,4 +1,4 @@
 """The library's operators run on the given tables, each with an SQL statement of the same result."""
 
-from . import dims, ingest, joins, measures, writes  # noqa: F401
+from . import dims, ingest, joins, measures, rules, writes  # noqa: F401
 from .base import REGISTRY, oracle_sql, run  # noqa: F401
