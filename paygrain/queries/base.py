@@ -52,7 +52,9 @@ def with_ctes(sql: str) -> str:
     names = _needed(sql, [])
     if not names:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in names) + "\n" + sql
+    shared = "WITH " + ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in names)
+    own = sql.startswith("WITH ")
+    return f"{shared},\n{sql[5:]}" if own else f"{shared}\n{sql}"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
