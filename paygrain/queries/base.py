@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, wraps
 from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,8 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+        self.roles: dict[str, DataFrame] = {}
+
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
@@ -33,6 +35,18 @@ REGISTRY: dict[str, tuple[Query, str | None]] = {}
 CTES: dict[str, str] = {}
 
 
+def role(build: Query) -> Query:
+    """Build a relation once per set of tables; a plan that uses it twice can then share its shuffles."""
+
+    @wraps(build)
+    def once(t: Tables) -> DataFrame:
+        if build.__name__ not in t.roles:
+            t.roles[build.__name__] = build(t)
+        return t.roles[build.__name__]
+
+    return once
+
+
 def cte(name: str, sql: str) -> None:
     """Name a sub-select; statements that mention it get it, and what it needs, in a WITH."""
     CTES[name] = dedent(sql).strip()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.money import money
 from ..operators import assign, intervals, measures, quality
 from . import roles
-from .base import Tables, query
+from .base import Tables, query, role
 
 
 @query(
@@ -72,6 +72,7 @@ def point_in_time_left(t: Tables) -> DataFrame:
     )
 
 
+@role
 def employments_by_country(t: Tables) -> DataFrame:
     return roles.employment(t).join(roles.department(t).select("department_id", "country_code"), "department_id")
 

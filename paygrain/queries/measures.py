@@ -9,9 +9,10 @@ from ..functions.money import money
 from ..operators import calendar, measures as m
 from ..plans import reports
 from . import roles
-from .base import Tables, cte, query
+from .base import Tables, cte, query, role
 
 
+@role
 def date_dim(t: Tables) -> DataFrame:
     """The date dimension over the years of the orders and the year after, for late absences."""
     days = t.orders.select(F.col("o_orderdate").cast("date").alias("d"))

@@ -17,7 +17,7 @@ from ..functions.money import money, periods_per_month
 from ..functions.text import normalize_text
 from ..operators.calendar import pay_periods
 from ..plans import marts
-from .base import Tables, cte
+from .base import Tables, cte, role
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 CONCEPTS = [
@@ -31,6 +31,7 @@ CONCEPTS = [
 ]
 
 
+@role
 def country(t: Tables) -> DataFrame:
     return t.nation.select(
         F.col("n_name").alias("country_code"),
@@ -52,6 +53,7 @@ cte(
 )
 
 
+@role
 def department(t: Tables) -> DataFrame:
     names = F.array(*[F.lit(s) for s in SEGMENTS])
     return country(t).select(
@@ -77,6 +79,7 @@ def employee_of(employment: Column) -> Column:
     return F.when(employment % 10 == 9, employment - 9).otherwise(employment)
 
 
+@role
 def employee(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     born = F.date_add(F.lit("1960-01-01").cast("date"), (key * 37 % 12000).cast("int"))
@@ -106,6 +109,7 @@ def contract_text() -> Column:
     )
 
 
+@role
 def employment(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     spans = t.orders.groupBy("o_custkey").agg(
@@ -158,6 +162,7 @@ cte(
 )
 
 
+@role
 def concept(t: Tables) -> DataFrame:
     kinds = F.array(*[F.struct(F.lit(c).alias("concept_code"), F.lit(k).alias("concept_type")) for c, k in CONCEPTS])
     return country(t).select("country_code", "country_no", F.posexplode(kinds).alias("_i", "_c")).select(
@@ -191,6 +196,7 @@ def order_span(t: Tables) -> tuple[Column, Column]:
     return t.orders.agg(F.min(day).alias("lo")).scalar(), t.orders.agg(F.max(day).alias("hi")).scalar()
 
 
+@role
 def period(t: Tables) -> DataFrame:
     first, last = order_span(t)
     calendar = pay_periods(country(t), first, last)
@@ -223,6 +229,7 @@ cte(
 )
 
 
+@role
 def base_movement(t: Tables) -> DataFrame:
     """Base pay: one row per customer and month of orders.
 
@@ -265,6 +272,7 @@ cte(
 )
 
 
+@role
 def line_movement(t: Tables) -> DataFrame:
     """The other pay movements: order lines, paid in the period of their order."""
     home = t.customer.join(
@@ -307,6 +315,7 @@ cte(
 )
 
 
+@role
 def settlement(t: Tables) -> DataFrame:
     """Orders of customers who left; several per employment, which the checks must notice."""
     status = F.when(F.col("o_orderstatus") == "O", "DRAFT").when(F.col("o_orderstatus") == "F", "PAID").otherwise("CANCELLED")
@@ -334,6 +343,7 @@ cte(
 )
 
 
+@role
 def settlement_line(t: Tables) -> DataFrame:
     """Order lines under the settlement concepts of country 0."""
     kind = F.when(F.col("l_returnflag") == "A", 7).when(F.col("l_returnflag") == "R", 6).otherwise(5)
@@ -356,6 +366,7 @@ cte(
 )
 
 
+@role
 def absence(t: Tables) -> DataFrame:
     key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     kind = F.when(key % 3 == 0, "VACATION").when(key % 3 == 1, "SICK_LEAVE").otherwise("UNJUSTIFIED")
@@ -384,6 +395,7 @@ cte(
 # The marts over these roles, and their SQL twins m_...
 
 
+@role
 def dim_concept(t: Tables) -> DataFrame:
     return marts.dim_concept(concept(t))
 
@@ -398,6 +410,7 @@ cte(
 )
 
 
+@role
 def dim_employee(t: Tables) -> DataFrame:
     return marts.dim_employee(
         base_movement(t), concept(t), period(t), country(t), employment(t), employee(t), department(t)
@@ -446,6 +459,7 @@ cte(
 )
 
 
+@role
 def fct_payroll_movement(t: Tables) -> DataFrame:
     return marts.fct_payroll_movement(line_movement(t), period(t), dim_concept(t), dim_employee(t))
 
@@ -466,6 +480,7 @@ cte(
 )
 
 
+@role
 def fct_settlement(t: Tables) -> DataFrame:
     return marts.fct_settlement(
         settlement(t), settlement_line(t), concept(t), employment(t), department(t), dim_employee(t)
@@ -493,6 +508,7 @@ cte(
 )
 
 
+@role
 def absence_days(t: Tables) -> DataFrame:
     return marts.int_absence_days(absence(t), employment(t))
 
@@ -510,6 +526,7 @@ cte(
 )
 
 
+@role
 def fct_absence_day(t: Tables) -> DataFrame:
     return marts.fct_absence_day(absence_days(t), dim_employee(t))
 

@@ -10,7 +10,7 @@ from ..functions.keys import hash_percent, portable_draw
 from ..functions.money import money, periods_per_month
 from ..operators import rules
 from . import roles
-from .base import Tables, cte, query
+from .base import Tables, cte, query, role
 from .dims import active_window
 
 
@@ -18,6 +18,7 @@ def _draw(*keys: str, label: int = 0) -> str:
     return f"(('0x' || substr(md5(concat_ws('|', {', '.join(keys)}, {label})), 1, 7))::BIGINT % 10000 / 10000.0::DOUBLE)"
 
 
+@role
 def employments(t: Tables) -> DataFrame:
     """Employments with country, pay rhythm and hiring salary."""
     return (
@@ -111,6 +112,7 @@ cte(
 )
 
 
+@role
 def timeline(t: Tables) -> DataFrame:
     return rules.salary_timeline(employments(t), raise_rules(t), *_years(t), draw=portable_draw)
 
@@ -135,6 +137,7 @@ def compound_growth(t: Tables) -> DataFrame:
     return rules.compound_growth(based, "o_custkey", "year", "pct", "base", "grown").select("o_custkey", "year", "grown")
 
 
+@role
 def employment_periods(t: Tables) -> DataFrame:
     return rules.employment_periods(employments(t), roles.period(t), timeline(t))
 
@@ -164,6 +167,7 @@ _RULES = [
 ]
 
 
+@role
 def pay_rules(t: Tables) -> DataFrame:
     """The same seven rules for every country."""
     entries = F.array(
@@ -223,6 +227,7 @@ cte(
 )
 
 
+@role
 def first_pass(t: Tables) -> DataFrame:
     return rules.rule_apply(employment_periods(t), pay_rules(t), portable_draw)
 
@@ -262,6 +267,7 @@ def rule_second_pass(t: Tables) -> DataFrame:
 _WINDOW_END = "2001-12-31"
 
 
+@role
 def settlement_headers(t: Tables) -> DataFrame:
     terminated = employments(t).withColumnRenamed("base_salary", "monthly_salary")
     return rules.settlement_headers(terminated, F.lit(_WINDOW_END).cast("date"), portable_draw)
