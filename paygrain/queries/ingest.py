@@ -76,7 +76,7 @@ def _load_events(t: Tables, root: str) -> None:
 
 
 def _scan_events(t: Tables, root: str) -> DataFrame:
-    return bronze.bronze_scan(t.spark, root, EVENT.folder, T.StructType([*EVENT.schema, T.StructField("load_id", T.StringType())]))
+    return bronze.bronze_scan(t.spark, root, EVENT.folder, EVENT.bronze_schema)
 
 
 @query(
@@ -185,7 +185,7 @@ def backfill_table(t: Tables) -> DataFrame:
         t.spark, _everything(t), root, store, "backfill", EVENT.source, contracts=tables, load_id="20240302T000000Z"
     )
     loads = {
-        c.folder: bronze.bronze_scan(t.spark, root, c.folder, T.StructType([*c.schema, T.StructField("load_id", T.StringType())]))
+        c.folder: bronze.bronze_scan(t.spark, root, c.folder, c.bronze_schema)
         for c in tables
     }
     held = row_counts(loads).withColumnRenamed("n_rows", "bronze_rows")
@@ -208,7 +208,7 @@ def bronze_stream_upsert(t: Tables) -> DataFrame:
     for runs in (RUNS[:2], RUNS[2:]):
         for load_id, moment in runs:
             bronze.run_extract(t.spark, _as_of(t, moment), root, store, contracts=[EVENT], load_id=load_id)
-        loads = read_loads(t.spark, root, EVENT.folder, EVENT.schema).withColumn(
+        loads = read_loads(t.spark, root, EVENT).withColumn(
             "bucket", F.pmod("user_id", F.lit(16)).cast("int")
         )
         upsert_stream(

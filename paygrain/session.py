@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -35,17 +36,18 @@ def build_session(app: str = "paygrain", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="paygrain-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, a laptop) is a temporary folder made
-    and recorded in the session, so that later calls agree on it.
+    Only where the cluster names none (a test, a laptop) is a temporary folder made,
+    one per process.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="paygrain-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -46,7 +46,7 @@ def upsert_partitions(
     spark = batch.sparkSession
     target = _read(spark, path)
     if target is None:
-        batch.write.mode("overwrite").option("compression", "zstd").partitionBy(partition).parquet(path)
+        _write_partitions(batch, path, partition)
         return
     old_homes = target.select(key, partition).join(batch.select(key), key, "left_semi").select(partition)
     # Bounded: at most one value per partition of the table.
@@ -62,13 +62,7 @@ def upsert_partitions(
     # A dynamic overwrite replaces only partitions it writes rows to, so those that lose
     # their last row are found first and removed afterwards.
     kept = {r[0] for r in merged.select(partition).distinct().collect()}
-    (
-        merged.write.mode("overwrite")
-        .option("compression", "zstd")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    _write_partitions(merged, path, partition)
     for value in set(touched) - kept:
         files.remove(spark, f"{path}/{partition}={value}")
 
@@ -88,16 +82,22 @@ def write_snapshot_run(current: DataFrame, path: str, key: str, updated_at: str,
         open_rows = read_partitions(spark, path).where("closed_in = 'open'").drop("closed_in")
         merged = merge_open_versions(open_rows, current, key, updated_at)
         closed = merged.where(~is_open()).withColumn("closed_in", F.lit(run_id))
-        _overwrite_partitions(closed, path)
-    _overwrite_partitions(merged.where(is_open()).withColumn("closed_in", F.lit("open")), path)
+        _write_partitions(closed, path, "closed_in")
+    _write_partitions(merged.where(is_open()).withColumn("closed_in", F.lit("open")), path, "closed_in")
+
 
+def _write_partitions(df: DataFrame, path: str, partition: str) -> None:
+    """Replace the partitions that ``df`` has rows for.
 
-def _overwrite_partitions(df: DataFrame, path: str) -> None:
+    The rebalance hint gathers a partition's rows into few files, and lets the runtime
+    split a partition that is far larger than the others.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", partition)
+        .write.mode("overwrite")
         .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("closed_in")
+        .partitionBy(partition)
         .parquet(path)
     )
 

@@ -34,6 +34,11 @@ class Contract:
     key: str
     watermark: str = "UpdatedAt"
 
+    @property
+    def bronze_schema(self) -> T.StructType:
+        """The columns of a load as it is scanned: the contract's and the load's id."""
+        return T.StructType([*self.schema, T.StructField("load_id", T.StringType())])
+
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()

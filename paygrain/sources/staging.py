@@ -48,8 +48,7 @@ def stage_all(spark: SparkSession, bronze: str) -> Mapping[str, DataFrame]:
     """Every staging relation by folder name, lazily."""
     staged = {}
     for contract in CONTRACTS:
-        schema = contract.schema.add("load_id", "string")
-        staged[contract.folder] = stage(bronze_scan(spark, bronze, contract.folder, schema), contract)
+        staged[contract.folder] = stage(bronze_scan(spark, bronze, contract.folder, contract.bronze_schema), contract)
     return staged
 
 

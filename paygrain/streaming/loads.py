@@ -10,17 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.sequences import latest_per_key
 from ..sinks.tables import upsert_partitions
+from ..sources.contracts import Contract
 
 
-def read_loads(spark: SparkSession, bronze: str, folder: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+def read_loads(spark: SparkSession, bronze: str, contract: Contract, files_per_batch: int | None = None) -> DataFrame:
     """The table's loads as an unbounded DataFrame with ``load_id``."""
-    root = f"{bronze}/{folder}"
-    reader = spark.readStream.schema(T.StructType([*schema, T.StructField("load_id", T.StringType())]))
+    root = f"{bronze}/{contract.folder}"
+    reader = spark.readStream.schema(contract.bronze_schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.option("basePath", root).parquet(f"{root}/load_id=*")
