@@ -44,20 +44,15 @@ def _neighbour(df, entity, order, columns, chunk, forward):
 
     chunked = df.withColumn(_CHUNK, chunk)
     window = Window.partitionBy(*entity, _CHUNK).orderBy(*order)
+    back = F.lag if forward else F.lead
     local = chunked.withColumns(
-        {"_edge": step(F.lit(True)).over(window).isNull()}
+        {"_edge": step(F.lit(True)).over(window).isNull(), "_facing": back(F.lit(True)).over(window).isNull()}
         | {f"_near_{i}": step(src).over(window) for i, src in enumerate(columns.values())}
     )
-    # The row of each chunk that faces the neighbouring chunk.
-    pick = F.min_by if forward else F.max_by
-    facing = chunked.groupBy(*entity, _CHUNK).agg(
-        pick(
-            F.struct(*[F.col(src).alias(f"_v{i}") for i, src in enumerate(columns.values())]),
-            F.struct(*order),
-        ).alias("_facing")
-    )
+    # One row per chunk: the one that faces the neighbouring chunk.
+    values = F.struct(*[F.col(src).alias(f"_v{i}") for i, src in enumerate(columns.values())])
     across = Window.partitionBy(*entity).orderBy(_CHUNK)
-    carried = facing.withColumn("_carried", step("_facing").over(across)).drop("_facing")
+    carried = local.where("_facing").select(*entity, _CHUNK, step(values).over(across).alias("_carried"))
     joined = local.join(carried, [*entity, _CHUNK], "left")
     return joined.select(
         *[F.col(c) for c in df.columns],
@@ -161,9 +156,44 @@ def islands(
     chunk: Column | None = None,
 ) -> DataFrame:
     """Number the runs of equal ``value``; a return to an old value opens a new run."""
-    marked = change_marks(df, entity, order, value, "_mark", chunk)
-    numbered = with_running_sum(marked, entity, order, "_mark", out, chunk)
-    return numbered.withColumn(out, F.col(out).cast("int")).drop("_mark")
+    entity, order = _names(entity), _names(order)
+    if chunk is None:
+        marked = change_marks(df, entity, order, value, "_mark")
+        numbered = with_running_sum(marked, entity, order, "_mark", out)
+        return numbered.withColumn(out, F.col(out).cast("int")).drop("_mark")
+
+    # Within a chunk, changes are counted from its first row on. What a chunk needs from
+    # the ones before it is their number of changes, and their last value to tell whether
+    # its own first row is one: one row per chunk, from one pass over the rows.
+    window = Window.partitionBy(*entity, _CHUNK).orderBy(*order)
+    before = F.lag(value).over(window)
+    marked = df.withColumn(_CHUNK, chunk).withColumns(
+        {
+            "_head": F.lag(F.lit(True)).over(window).isNull(),
+            "_tail": F.lead(F.lit(True)).over(window).isNull(),
+            "_mark": F.when(F.col(value) == before, 0).otherwise(1),
+        }
+    )
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = marked.withColumn("_inner", F.sum(F.when(F.col("_head"), 0).otherwise(F.col("_mark"))).over(upto))
+    chunks = (
+        local.where("_head or _tail")
+        .groupBy(*entity, _CHUNK)
+        .agg(
+            F.max("_inner").alias("_changes"),
+            F.max(F.when(F.col("_head"), F.col(value))).alias("_first"),
+            F.max(F.when(F.col("_tail"), F.col(value))).alias("_last"),
+        )
+    )
+    across = Window.partitionBy(*entity).orderBy(_CHUNK)
+    opens = F.when(F.col("_first") == F.lag("_last").over(across), 0).otherwise(1)
+    total = F.sum(F.col("_changes") + F.col("_opens")).over(
+        across.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    starts = chunks.withColumn("_opens", opens).select(*entity, _CHUNK, (total - F.col("_changes")).alias("_start"))
+    return local.join(starts, [*entity, _CHUNK], "left").select(
+        *[F.col(c) for c in df.columns], (F.col("_start") + F.col("_inner")).cast("int").alias(out)
+    )
 
 
 def validity(
