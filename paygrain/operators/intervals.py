@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_start, open_end
 from .sequences import latest_per_key
+from .skew import PART, repeat_rows, split_rows
 
 
 def point_in_time_join(
@@ -19,18 +20,25 @@ def point_in_time_join(
     start: str = "valid_from",
     end: str = "valid_to",
     how: str = "inner",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Attach to each fact row the version of ``on`` in force on the date ``at``.
 
     Both ends are inclusive. The key is an equi-join key and the dates a residual
-    condition, so the fact side is shuffled once at most and a hot key's partition can
-    be split at runtime. ``at`` may use columns of both sides; refer to the sides as
-    ``f`` and ``v`` where a name occurs in both. The versions' own key is dropped.
+    condition, so the fact side is shuffled once at most. ``at`` may use columns of both
+    sides; refer to the sides as ``f`` and ``v`` where a name occurs in both. The
+    versions' own key is dropped. With ``hot`` (see ``skew.hot_keys``) the fact rows of
+    a hot key are split into parts, and its versions repeated for each.
     """
+    wanted = fact.columns
+    kept = [c for c in versions.columns if c != on and c not in wanted]
+    if hot is not None:
+        fact, versions = split_rows(fact, hot, on), repeat_rows(versions, hot, on)
     matches = (F.col(f"f.{on}") == F.col(f"v.{on}")) & at.between(F.col(f"v.{start}"), F.col(f"v.{end}"))
-    kept = [c for c in versions.columns if c != on]
+    if hot is not None:
+        matches = matches & (F.col(f"f.{PART}") == F.col(f"v.{PART}"))
     return fact.alias("f").join(versions.alias("v"), matches, how).select(
-        "f.*", *[F.col(f"v.{c}").alias(c) for c in kept if c not in fact.columns]
+        *[F.col(f"f.{c}") for c in wanted], *[F.col(f"v.{c}") for c in kept]
     )
 
 
@@ -97,7 +105,9 @@ def resolve_by_priority(
 ) -> DataFrame:
     """Keep one row per key: the best-ranked ``column``, then the lowest tie-breakers.
 
-    A value without a rank loses to every ranked one.
+    A value without a rank loses to every ranked one. The rows are spread by all keys:
+    if they come from a join on the first key only, Spark would otherwise keep them
+    where that join left them, with everything of a hot first key in one task.
     """
     if not isinstance(priority, Mapping):
         priority = {name: i for i, name in enumerate(priority, start=1)}
@@ -105,4 +115,4 @@ def resolve_by_priority(
     for name, place in priority.items():
         rank = F.when(F.col(column) == name, F.lit(place)).otherwise(rank)
     order = [rank.asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_breakers]]
-    return latest_per_key(df, keys, order)
+    return latest_per_key(df.repartition(*keys), keys, order)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import calendar
 from ..operators import quality as q
+from ..operators.skew import hot_keys
 from ..operators.upserts import lookback_start
 from ..sinks.export import EXPORTED, export_for_bi
 from ..sinks.tables import full_refresh, read_snapshot, upsert_partitions, write_snapshot_run
@@ -100,7 +101,8 @@ def build_movement_fact(spark: SparkSession, layout: Layout, s: Mapping[str, Dat
         since = lookback_start(spark.read.parquet(path), "updated_at")
     if since is not None:
         movements = movements.where(F.col("updated_at") >= F.lit(since))
-    fact = marts.fct_payroll_movement(movements, s["payroll_period"], concept_dim, employee_dim).withColumn(
+    hot = hot_keys(movements, "employment_id")
+    fact = marts.fct_payroll_movement(movements, s["payroll_period"], concept_dim, employee_dim, hot).withColumn(
         "pay_month", F.expr("pay_date_key div 100").cast("int")
     )
     if since is None:

@@ -110,19 +110,24 @@ def dim_employee(
 
 
 def fct_payroll_movement(
-    movement: DataFrame, period: DataFrame, concept_dim: DataFrame, employee_dim: DataFrame
+    movement: DataFrame,
+    period: DataFrame,
+    concept_dim: DataFrame,
+    employee_dim: DataFrame,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """One row per movement, tied to the employee version in force when it was paid.
 
     The version table carries the hire date, so employments need not be joined: the
-    movements meet two small tables and then one shuffle, on employment_id.
+    movements meet two small tables and then one shuffle, on employment_id. ``hot``
+    names employments with very many movements, whose rows are split over tasks.
     """
     calendar = period.select("period_id", "country_code", "start_date", date_key("pay_date").alias("pay_date_key"))
     signs = concept_dim.select(F.col("concept_key").alias("concept_id"), "sign")
     paid = movement.join(calendar, "period_id").join(signs, "concept_id")
     versions = employee_dim.select("employment_id", "employee_sk", "hire_date", "valid_from", "valid_to")
     at = F.greatest(F.col("f.start_date"), F.col("v.hire_date"))
-    return point_in_time_join(paid, versions, "employment_id", at).select(
+    return point_in_time_join(paid, versions, "employment_id", at, hot=hot).select(
         "movement_id",
         "employee_sk",
         "employment_id",

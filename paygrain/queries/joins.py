@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import money
 from ..operators import assign, intervals, measures, quality
+from ..operators.skew import hot_keys
 from . import roles
 from .base import Tables, query, role
 
@@ -43,7 +44,8 @@ def point_in_time_join(t: Tables) -> DataFrame:
     versions = roles.dim_employee(t).select(
         "employment_id", "employee_sk", "version", "monthly_salary", "valid_from", "valid_to"
     )
-    return intervals.point_in_time_join(placed, versions, "employment_id", F.col("f.day")).select(
+    hot = hot_keys(placed, "employment_id")
+    return intervals.point_in_time_join(placed, versions, "employment_id", F.col("f.day"), hot=hot).select(
         "o_orderkey", F.col("employment_id").alias("o_custkey"), "employee_sk", "version", "monthly_salary"
     )
 
@@ -67,7 +69,8 @@ def point_in_time_left(t: Tables) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("day"),
     )
     versions = roles.dim_employee(t).select("employment_id", "employee_sk", "valid_from", "valid_to")
-    return intervals.point_in_time_join(shipped, versions, "employment_id", F.col("f.day"), how="left").select(
+    hot = roles.busy_employments(t)
+    return intervals.point_in_time_join(shipped, versions, "employment_id", F.col("f.day"), how="left", hot=hot).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "employee_sk"
     )
 

@@ -16,6 +16,7 @@ from ..functions.dates import at_second, month_start
 from ..functions.money import money, periods_per_month
 from ..functions.text import normalize_text
 from ..operators.calendar import pay_periods
+from ..operators.skew import hot_keys
 from ..plans import marts
 from .base import Tables, cte, role
 
@@ -274,24 +275,41 @@ cte(
 
 @role
 def line_movement(t: Tables) -> DataFrame:
-    """The other pay movements: order lines, paid in the period of their order."""
+    """The other pay movements: order lines, paid in the period of their order.
+
+    The orders meet their customers before they meet the lines, so that no two joins of
+    the lines in a row share a key: each can be split on its own if a key is hot.
+    """
     home = t.customer.join(
         country(t).select(F.col("country_no").alias("c_nationkey"), "pay_frequency"), "c_nationkey"
     ).select("c_custkey", "c_nationkey", "pay_frequency")
-    placed = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("_day"))
-    half = F.when((F.col("pay_frequency") == "BIWEEKLY") & (F.dayofmonth("_day") > 15), 2).otherwise(1)
+    day = F.col("o_orderdate").cast("date")
+    half = F.when((F.col("pay_frequency") == "BIWEEKLY") & (F.dayofmonth(day) > 15), 2).otherwise(1)
+    placed = t.orders.join(home, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "o_custkey", "c_nationkey", period_no(F.col("c_nationkey"), day, half).alias("period_id")
+    )
     kind = F.when(F.col("l_returnflag") == "A", 2).when(F.col("l_returnflag") == "R", 3).otherwise(4)
-    return (
-        t.lineitem.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(home, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            line_id().alias("movement_id"),
-            F.col("o_custkey").alias("employment_id"),
-            period_no(F.col("c_nationkey"), F.col("_day"), half).alias("period_id"),
-            (F.col("c_nationkey") * 10 + kind).alias("concept_id"),
-            money("l_extendedprice").alias("amount"),
-            F.col("l_shipdate").alias("updated_at"),
-        )
+    return t.lineitem.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        line_id().alias("movement_id"),
+        F.col("o_custkey").alias("employment_id"),
+        "period_id",
+        (F.col("c_nationkey") * 10 + kind).alias("concept_id"),
+        money("l_extendedprice").alias("amount"),
+        F.col("l_shipdate").alias("updated_at"),
+    )
+
+
+@role
+def busy_employments(t: Tables) -> DataFrame:
+    """Customers with more order lines than one task should take.
+
+    The lines are counted per order first, so only one row per order meets the orders.
+    """
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("_lines"))
+    return hot_keys(
+        lines.join(t.orders.select("o_orderkey", F.col("o_custkey").alias("employment_id")), "o_orderkey"),
+        "employment_id",
+        weight="_lines",
     )
 
 
@@ -461,7 +479,9 @@ cte(
 
 @role
 def fct_payroll_movement(t: Tables) -> DataFrame:
-    return marts.fct_payroll_movement(line_movement(t), period(t), dim_concept(t), dim_employee(t))
+    return marts.fct_payroll_movement(
+        line_movement(t), period(t), dim_concept(t), dim_employee(t), busy_employments(t)
+    )
 
 
 cte(

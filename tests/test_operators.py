@@ -11,7 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from paygrain.functions import dates, keys, text
-from paygrain.operators import assign, calendar, intervals, measures, quality, rules, sequences, snapshots, upserts
+from paygrain.operators import assign, calendar, intervals, measures, quality, rules, sequences, skew, snapshots, upserts
 
 D = date.fromisoformat
 OPEN = D("9999-12-31")
@@ -114,6 +114,22 @@ def test_overlap_join_by_month_equals_brute_force(spark):
     assert got == proper
 
 
+def test_hot_keys_are_split_and_nothing_changes(spark, history):
+    data, df = history
+    versions = spark.createDataFrame(
+        [(k, f"{k}-{m}", date(2023, m, 1), date(2023, m + 1, 1) - timedelta(days=1)) for k in range(10) for m in range(1, 12)],
+        "k int, name string, valid_from date, valid_to date",
+    )
+    hot = skew.hot_keys(df, "k", rows_per_task=60)
+    assert {r.k: r._parts for r in hot.collect()}[0] == 4
+    assert skew.split_rows(df, hot, "k").where("k = 0").select(skew.PART).distinct().count() == 4
+    for how in ("inner", "left"):
+        plain = intervals.point_in_time_join(df, versions, "k", F.col("f.day"), how=how)
+        split = intervals.point_in_time_join(df, versions, "k", F.col("f.day"), how=how, hot=hot)
+        assert split.columns == plain.columns and rows(split) == rows(plain)
+        assert split.count() == (600 if how == "left" else plain.count())
+
+
 def test_explode_days_skips_inverted_ranges(spark):
     df = spark.createDataFrame(
         [(1, D("2024-02-28"), D("2024-03-01")), (2, D("2024-02-02"), D("2024-02-01")), (3, D("2024-02-02"), None)],
