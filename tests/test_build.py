@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from paygrain.operators.quality import QualityError
 from paygrain.plans import build
+from paygrain.sinks.export import export_for_bi
 from paygrain.sinks.tables import read_snapshot
 from paygrain.sources import bronze
+from paygrain.sources.staging import register_views, stage_all
 from paygrain.sources.watermarks import WatermarkStore
 
 OPEN = date(9999, 12, 31)
@@ -137,11 +139,16 @@ def test_later_runs(spark, warehouse):
     assert rows(read_snapshot(spark, layout.snapshot)) == snapshot_before
 
 
-def test_failed_check_keeps_last_export(spark, tmp_path):
-    source, root = Source(), str(tmp_path / "wh")
-    exported = build.run(spark, source.reader(spark), root)
-    assert {r.table_name: r.n_rows for r in exported.collect()}["fct_payroll_movement"] == 10
+def test_staging_views(spark, warehouse):
+    register_views(stage_all(spark, warehouse[0].bronze))
+    assert spark.sql("select count(*), count(distinct _load_id) from stg_payroll_movement").first()[0] == 11
+
+
+def test_failed_check_keeps_last_export(spark, warehouse):
+    layout, source, _, _ = warehouse
+    exported = export_for_bi(spark, build.read_marts(spark, layout), layout.serving)
+    assert {r.table_name: r.n_rows for r in exported.collect()}["fct_payroll_movement"] == 11
     source.put("payroll.PayrollMovement", (12, 1, 204, 999, money(1)), at=datetime(2025, 1, 5))
     with pytest.raises(QualityError, match="stg_payroll_movement_concept_id_exists"):
-        build.run(spark, source.reader(spark), root + "x", mode="full")
-    assert spark.read.parquet(f"{root}/serving/fct_payroll_movement.parquet").count() == 10
+        build.run(spark, source.reader(spark), layout.root)
+    assert spark.read.parquet(f"{layout.serving}/fct_payroll_movement.parquet").count() == 11
