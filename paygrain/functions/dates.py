@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ def open_end() -> Column:
     return F.lit(OPEN_END).cast("date")
 
 
+def moment(value: datetime) -> Column:
+    """A timestamp without zone as a literal. ``F.lit`` would read it in the driver's own zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_key(day: Column | str) -> Column:
     """yyyymmdd as an integer. Plain arithmetic, so no string is built per row."""
     day = _col(day)

@@ -121,9 +121,18 @@ def _within_salary_bounds() -> Column:
 
 
 def _between(draw: Column) -> Column:
-    """The rule's value for a draw, as a decimal: pay is never computed in floating point."""
-    span = (F.col("max_value") - F.col("min_value")).cast("decimal(18,4)")
-    return (F.col("min_value") + span * draw.cast("decimal(7,6)")).cast("decimal(16,8)")
+    """The rule's value for a draw, as a decimal: pay is never computed in floating point.
+
+    A rule with a single value needs no draw.
+    """
+    low, high = F.col("min_value"), F.col("max_value")
+    drawn = low + (high - low).cast("decimal(18,4)") * draw.cast("decimal(7,6)")
+    return F.when(low == high, low.cast("decimal(16,8)")).otherwise(drawn.cast("decimal(16,8)"))
+
+
+def _happens(draw: Column) -> Column:
+    """Whether a rule applies; a certain one needs no draw, draws being below 1."""
+    return F.when(F.col("probability") >= 1, True).otherwise(draw < F.col("probability"))
 
 
 def rule_apply(periods: DataFrame, rules: DataFrame, draw: Draw = hashed_draw) -> DataFrame:
@@ -137,7 +146,7 @@ def rule_apply(periods: DataFrame, rules: DataFrame, draw: Draw = hashed_draw) -
     """
     own = F.col("scope") == "EMPLOYMENT"
     once, each = ("employment_id", "rule_id"), ("employment_id", "period_id", "rule_id")
-    applies = F.when(own, draw(*once, label=0)).otherwise(draw(*each, label=0)) < F.col("probability")
+    applies = _happens(F.when(own, draw(*once, label=0)).otherwise(draw(*each, label=0)))
     value = _between(F.when(own, draw(*once, label=1)).otherwise(draw(*each, label=1)))
     half = F.lit(Decimal("0.5"))
     part = F.when(F.col("periods_per_month") == 2, half).otherwise(F.lit(Decimal("1.0")))
@@ -182,7 +191,7 @@ def rule_second_pass(first_pass: DataFrame, rules: DataFrame, draw: Draw = hashe
     value = _between(draw(*each, label=1))
     return (
         earned.join(rules.where("method = 'PCT_EARNINGS'"), "country_code")
-        .where(_within_salary_bounds() & (draw(*each, label=0) < F.col("probability")))
+        .where(_within_salary_bounds() & _happens(draw(*each, label=0)))
         .select(
             "employment_id",
             "period_id",

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import moment
 from .sequences import latest_per_key
 
 
@@ -24,7 +25,7 @@ def lookback_start(target: DataFrame, updated_at: str, days: int = 3) -> datetim
 def lookback(source: DataFrame, target: DataFrame, updated_at: str, days: int = 3) -> DataFrame:
     """The source rows an incremental run has to process again."""
     start = lookback_start(target, updated_at, days)
-    return source if start is None else source.where(F.col(updated_at) >= F.lit(start))
+    return source if start is None else source.where(F.col(updated_at) >= moment(start))
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:

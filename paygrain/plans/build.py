@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import moment
 from ..operators import calendar
 from ..operators import quality as q
 from ..operators.skew import hot_keys
@@ -100,7 +101,7 @@ def build_movement_fact(spark: SparkSession, layout: Layout, s: Mapping[str, Dat
     if not full and files.exists(spark, path):
         since = lookback_start(spark.read.parquet(path), "updated_at")
     if since is not None:
-        movements = movements.where(F.col("updated_at") >= F.lit(since))
+        movements = movements.where(F.col("updated_at") >= moment(since))
     hot = hot_keys(movements, "employment_id")
     fact = marts.fct_payroll_movement(movements, s["payroll_period"], concept_dim, employee_dim, hot).withColumn(
         "pay_month", F.expr("pay_date_key div 100").cast("int")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import moment
 from ..functions.money import money
 from ..session import scratch_path
 from ..sources import bronze
@@ -61,8 +62,8 @@ _LOAD = """CASE WHEN ts < TIMESTAMP '2024-01-10' THEN '20240110T000000Z'
                 WHEN ts < TIMESTAMP '2024-01-20' THEN '20240120T000000Z' ELSE '20240201T000000Z' END"""
 
 
-def _as_of(t: Tables, moment: datetime) -> bronze.Reader:
-    return lambda contract: t.events.where(F.col("ts") < F.lit(moment))
+def _as_of(t: Tables, when: datetime) -> bronze.Reader:
+    return lambda contract: t.events.where(F.col("ts") < moment(when))
 
 
 def _everything(t: Tables) -> bronze.Reader:
@@ -71,8 +72,8 @@ def _everything(t: Tables) -> bronze.Reader:
 
 def _load_events(t: Tables, root: str) -> None:
     store = WatermarkStore(t.spark, f"{root}/_state/watermarks.json")
-    for load_id, moment in RUNS:
-        bronze.run_extract(t.spark, _as_of(t, moment), root, store, contracts=[EVENT], load_id=load_id)
+    for load_id, when in RUNS:
+        bronze.run_extract(t.spark, _as_of(t, when), root, store, contracts=[EVENT], load_id=load_id)
 
 
 def _scan_events(t: Tables, root: str) -> DataFrame:
@@ -206,8 +207,8 @@ def bronze_stream_upsert(t: Tables) -> DataFrame:
     target, checkpoint = f"{root}/_target", f"{root}/_checkpoint"
     store = WatermarkStore(t.spark, f"{root}/_state/watermarks.json")
     for runs in (RUNS[:2], RUNS[2:]):
-        for load_id, moment in runs:
-            bronze.run_extract(t.spark, _as_of(t, moment), root, store, contracts=[EVENT], load_id=load_id)
+        for load_id, when in runs:
+            bronze.run_extract(t.spark, _as_of(t, when), root, store, contracts=[EVENT], load_id=load_id)
         loads = read_loads(t.spark, root, EVENT).withColumn(
             "bucket", F.pmod("user_id", F.lit(16)).cast("int")
         )

@@ -38,7 +38,8 @@ def upsert_partitions(
     The partitions to rewrite are those the batch falls into and those where its keys
     now lie. Finding them reads two columns; the rest of the table is not touched. Spark
     stages the new partitions and swaps them in when the job commits. Running the same
-    batch twice leaves the same table. The partition column must not be NULL.
+    batch twice leaves the same table. The partition column holds
+    whole numbers or dates and must not be NULL.
 
     With ``newest_first`` a key keeps its newest row of table and batch under that
     order, for batches that may hold older versions than the table does.
@@ -59,12 +60,14 @@ def upsert_partitions(
         merged = delete_insert(affected, fresh, key)
     else:
         merged = newest_wins(affected, fresh, key, newest_first)
-    # A dynamic overwrite replaces only partitions it writes rows to, so those that lose
-    # their last row are found first and removed afterwards.
-    kept = {r[0] for r in merged.select(partition).distinct().collect()}
+    # A dynamic overwrite replaces only partitions it writes rows to. One that lost its last
+    # row keeps its old files, which tell it apart from the rewritten ones.
+    folders = {value: f"{path}/{partition}={value}" for value in touched}
+    before = {value: files.children(spark, folder) for value, folder in folders.items()}
     _write_partitions(merged, path, partition)
-    for value in set(touched) - kept:
-        files.remove(spark, f"{path}/{partition}={value}")
+    for value, folder in folders.items():
+        if before[value] and files.children(spark, folder) == before[value]:
+            files.remove(spark, folder)
 
 
 def write_snapshot_run(current: DataFrame, path: str, key: str, updated_at: str, run_id: str) -> None:

@@ -14,6 +14,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import moment
 from . import files
 from .contracts import CONTRACTS, Contract, enforce_contract
 from .watermarks import EPOCH, WatermarkStore
@@ -37,7 +38,7 @@ def freeze_high(source: DataFrame, watermark: str) -> datetime | None:
 def incremental_window(source: DataFrame, watermark: str, low: datetime, high: datetime) -> DataFrame:
     """Rows changed after ``low`` up to and including ``high``; the filter reaches the scan."""
     mark = F.col(watermark)
-    return source.where((mark > F.lit(low)) & (mark <= F.lit(high)))
+    return source.where((mark > moment(low)) & (mark <= moment(high)))
 
 
 def load_path(bronze: str, folder: str, load_id: str) -> str:
@@ -128,6 +129,7 @@ def jdbc_reader(spark: SparkSession, url: str, **options: str) -> Reader:
     """
 
     def read(contract: Contract) -> DataFrame:
-        return spark.read.format("jdbc").options(url=url, dbtable=contract.source, **options).load()
+        settings = {"preferTimestampNTZ": "true", **options}
+        return spark.read.format("jdbc").options(url=url, dbtable=contract.source, **settings).load()
 
     return read

@@ -10,6 +10,7 @@ from conftest import rows
 from payroll_fixture import T0, Source
 from pyspark.sql import functions as F
 
+from paygrain.functions.dates import moment
 from paygrain.sinks.export import bi_safe, export_for_bi
 from paygrain.sinks.tables import upsert_partitions
 from paygrain.sources import bronze, files
@@ -163,7 +164,7 @@ def test_stream_keeps_the_newest_version(spark, place, tmp_path):
     extract(spark, source, place, "L2")
     # A load that arrives late holds an older version of movement 9.
     late = source.frame(spark, MOVEMENT.source).where("MovementId = 9").withColumn("Amount", F.lit(1).cast("decimal(18,2)"))
-    bronze.publish_load(late.withColumn("UpdatedAt", F.lit(EPOCH)), root, MOVEMENT.folder, "L3")
+    bronze.publish_load(late.withColumn("UpdatedAt", moment(EPOCH)), root, MOVEMENT.folder, "L3")
     got = consume()
     assert got.count() == 10
     assert rows(got.where("MovementId in (8, 9)"), "MovementId", "Amount") == [(8, Decimal("99.00")), (9, Decimal("900.00"))]
