@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from ..functions.dates import completed_years, days_since_anniversary, month_end, open_end
 from ..functions.keys import unit_draw
 from ..functions.money import money
-from .intervals import interval_overlap_join, point_in_time_join
+from .intervals import interval_overlap_join
 from .sequences import validity
 
 Draw = Callable[..., Column]
@@ -94,14 +94,19 @@ def employment_periods(employments: DataFrame, periods: DataFrame, timeline: Dat
 
     ``employments`` needs employment_id, country_code, periods_per_month, hire_date and
     termination_date. For a hire inside the period the hiring salary counts.
+
+    Employments meet their few salaries before the pay calendar multiplies them, so the
+    multiplied rows are not shuffled.
     """
+    salaries = timeline.select("employment_id", "valid_from", "valid_to", "salary")
     active = interval_overlap_join(
-        employments, periods, "country_code", ("hire_date", "termination_date"), ("start_date", "end_date")
-    )
-    paid = point_in_time_join(
-        active, timeline.select("employment_id", "valid_from", "valid_to", "salary"), "employment_id",
-        F.greatest(F.col("f.start_date"), F.col("f.hire_date")),
+        employments.join(salaries, "employment_id"),
+        periods,
+        "country_code",
+        ("hire_date", "termination_date"),
+        ("start_date", "end_date"),
     )
+    paid = active.where(F.greatest("start_date", "hire_date").between(F.col("valid_from"), F.col("valid_to")))
     return paid.select(
         "employment_id",
         "country_code",
