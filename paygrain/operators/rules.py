@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.dates import completed_years, days_since_anniversary, month_end, open_end
+from ..functions.dates import completed_years, days_since_anniversary, month_end
 from ..functions.keys import unit_draw
 from ..functions.money import money
 from .intervals import interval_overlap_join

@@ -4,8 +4,8 @@ A plain window puts all rows of one entity into one task. That is right where a
 bounds the rows per entity (one per pay period, say). Where it does not, pass ``chunk``:
 an expression that never decreases along the order, such as the month of the ordering
 date. The window then runs per (entity, chunk), and what has to cross a chunk border is
-carried by a summary of one row per (entity, chunk), built with map-side partial
-aggregation. The result is the same, and a hot entity is spread over its chunks.
+carried by a summary of one row per (entity, chunk). The result is the same, and a hot
+entity is spread over its chunks. Entity and chunk must not be NULL then.
 """
 
 from __future__ import annotations
