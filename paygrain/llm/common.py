@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +53,16 @@ def binary(column: pa.Array) -> pa.Array:
 def strings(column: pa.Array) -> list[str]:
     """The texts of a string column; nulls become empty."""
     return ["" if x is None else x for x in column.to_pylist()]
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts are at most ``max_bytes`` together, or one row if it is longer."""
+    for batch in batches:
+        start, held = 0, 0
+        for i, n in enumerate(pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()):
+            if held and held + n > max_bytes:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += n
+        if start < batch.num_rows:
+            yield batch.slice(start)
