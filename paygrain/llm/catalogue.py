@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language_id, pii, simhash_dedup, url_filter
+from . import byte_bpe, language_id, pii, simhash_dedup, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
     "op2_byte_bpe": byte_bpe.op2_byte_bpe,
     "op3_pii": pii.op3_pii,
+    "op4_token_count": token_count.op4_token_count,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op10_url_filter": url_filter.op10_url_filter,
 }
