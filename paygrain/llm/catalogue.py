@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language_id, pii, simhash_dedup, token_count, url_filter
+from . import byte_bpe, language_id, pii, quality_rules, simhash_dedup, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -14,9 +14,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": pii.op3_pii,
     "op4_token_count": token_count.op4_token_count,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
+    "op8_quality_rules": quality_rules.op8_quality_rules,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_quality_rules": quality_rules.SQL,
     "op10_url_filter": url_filter.SQL,
 }
