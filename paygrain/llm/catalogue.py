@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, language_id, pii, quality_rules, simhash_dedup, token_count, url_filter
+from . import byte_bpe, decontaminate, language_id, pii, quality_rules, simhash_dedup, token_count, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -16,10 +16,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op9_warc": warc.op9_warc,
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_quality_rules": quality_rules.SQL,
+    "op9_warc": warc.SQL,
     "op10_url_filter": url_filter.SQL,
 }
