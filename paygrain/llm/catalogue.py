@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, language_id, pii, quality_rules, simhash_dedup, token_count, url_filter, warc
+from . import byte_bpe, decontaminate, language_id, pii, quality_rules, simhash_dedup, token_count, token_ids, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": pii.op3_pii,
     "op4_token_count": token_count.op4_token_count,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
+    "op6_token_ids": token_ids.op6_token_ids,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_warc": warc.op9_warc,
