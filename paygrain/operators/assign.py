@@ -26,14 +26,17 @@ def weighted_bucket(
 ) -> DataFrame:
     """Give each row the choice whose range holds its draw (a whole number 0..slots-1).
 
-    The ranges are cut into their slots, at most ``slots`` rows, so that the lookup is an
-    equi-join on the draw rather than a comparison with every range. A draw beyond the
-    last range finds no choice and is dropped, as in the range join.
+    Weights may be fractions of a slot (decimals; sums of doubles would blur the bounds). A range holds the whole
+    numbers from its start up to, but not including, its end, so neighbours share no slot and a range between two
+    whole numbers holds none. The ranges are cut into these slots, at most ``slots`` rows, and the lookup is an
+    equi-join on the draw rather than a comparison with every range. A draw beyond the last range finds no choice
+    and is dropped, as in the range join. A negative weight would make ranges overlap and raises.
     """
-    table = cumulative_ranges(weights.select(choice, weight), choice, weight)
-    lookup = table.where("range_to > range_from").select(
-        choice, F.explode(F.sequence(F.col("range_from").cast("long"), F.col("range_to").cast("long") - 1)).alias(draw)
-    ).where(F.col(draw) < slots)
+    exact = F.col(weight).cast("decimal(28,10)")
+    checked = F.when(exact < 0, F.raise_error(F.lit("a weight is negative")).cast("decimal(28,10)")).otherwise(exact)
+    table = cumulative_ranges(weights.select(choice, checked.alias(weight)), choice, weight)
+    first, behind = F.ceil("range_from").cast("long"), F.least(F.ceil("range_to").cast("long"), F.lit(slots))
+    lookup = table.where(first < behind).select(choice, F.explode(F.sequence(first, behind - 1)).alias(draw))
     return rows.join(lookup, draw)
 
 

@@ -30,6 +30,8 @@ def point_in_time_join(
     versions' own key is dropped. With ``hot`` (see ``skew.hot_keys``) the fact rows of
     a hot key are split into parts, and its versions repeated for each.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("repeated versions would show in other joins than inner and left")
     wanted = fact.columns
     kept = [c for c in versions.columns if c != on and c not in wanted]
     if hot is not None:

@@ -201,13 +201,15 @@ _SLOTS = 1000
     FROM (SELECT c_custkey, c_custkey * 7919 % 1000 AS draw FROM customer)
     JOIN (SELECT n_name, sum(w) OVER (ORDER BY n_name ROWS UNBOUNDED PRECEDING) - w AS lo,
                  sum(w) OVER (ORDER BY n_name ROWS UNBOUNDED PRECEDING) AS hi
-          FROM (SELECT n_name, n_nationkey % 5 * 20 AS w FROM nation)) ON draw >= lo AND draw < hi
+          FROM (SELECT n_name, 1000 * CAST(CASE WHEN n_nationkey % 5 = 0 THEN 0.0003 ELSE n_nationkey % 5 * 0.0199 END AS DECIMAL(9,4)) AS w
+                FROM nation)) ON draw >= lo AND draw < hi
     """,
 )
 def weighted_bucket(t: Tables) -> DataFrame:
-    """Customers assigned to countries in proportion to the countries' weights."""
+    """Customers assigned to countries by the countries' shares, some of them narrower than a slot."""
     draws = t.customer.select("c_custkey", (F.col("c_custkey") * 7919 % _SLOTS).alias("draw"))
-    weights = t.nation.select(F.col("n_name").alias("country_code"), (F.col("n_nationkey") % 5 * 20).alias("weight"))
+    share = F.expr("CAST(CASE WHEN n_nationkey % 5 = 0 THEN 0.0003 ELSE n_nationkey % 5 * 0.0199 END AS DECIMAL(9,4))")
+    weights = t.nation.select(F.col("n_name").alias("country_code"), (share * _SLOTS).alias("weight"))
     return assign.weighted_bucket(draws, "draw", weights, "country_code", "weight", _SLOTS).select(
         "c_custkey", "draw", "country_code"
     )

@@ -120,7 +120,8 @@ def employment(t: Tables) -> DataFrame:
     left = F.when(key % 3 == 0, F.date_add("_last", 10))
     reason = F.when(key % 9 == 0, "RESIGNATION").when(key % 9 == 3, "DISMISSAL").when(key % 9 == 6, "END_OF_CONTRACT")
     seconds = (32400 + key % 32400).cast("int")
-    segment = F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("c_mktsegment")) - 1
+    # A segment that is not listed has no department: the id is NULL, and the reference check finds it.
+    segment = F.nullif(F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("c_mktsegment")), F.lit(0)) - 1
     return t.customer.join(spans, key == F.col("o_custkey")).select(
         key.alias("employment_id"),
         employee_of(key).alias("employee_id"),
@@ -194,7 +195,8 @@ def period_no(country_no: Column, day: Column, half: Column) -> Column:
 def order_span(t: Tables) -> tuple[Column, Column]:
     """First and last order date as scalar subqueries."""
     day = F.col("o_orderdate").cast("date")
-    return t.orders.agg(F.min(day).alias("lo")).scalar(), t.orders.agg(F.max(day).alias("hi")).scalar()
+    span = t.orders.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("span")).scalar()
+    return span["lo"], span["hi"]
 
 
 @role

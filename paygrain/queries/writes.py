@@ -134,12 +134,14 @@ def update_top_n(t: Tables) -> DataFrame:
     ).select("c_custkey", "contract_type")
 
 
-_CUTS = ["2024-01-10", "2024-01-20", "2024-02-01"]
+# The moments of three snapshot runs; the last one sees everything.
+_CUTS = ["2024-01-10", "2024-01-20", None]
 
 
-def _seen_at(t: Tables, cut: str) -> DataFrame:
+def _seen_at(t: Tables, cut: str | None) -> DataFrame:
     """Each user's newest event before a moment: the rows a snapshot run finds."""
-    rows = t.events.where(f"ts < TIMESTAMP_NTZ '{cut} 00:00:00'").select(
+    seen = t.events if cut is None else t.events.where(f"ts < TIMESTAMP_NTZ '{cut} 00:00:00'")
+    rows = seen.select(
         "user_id", "event_type", money("value").alias("amount"), F.col("ts").alias("updated_at")
     )
     return latest_per_key(rows, "user_id", [F.col("updated_at").desc(), F.col("event_type")])
@@ -147,7 +149,7 @@ def _seen_at(t: Tables, cut: str) -> DataFrame:
 
 _SEEN = "\nUNION ALL\n".join(
     f"""SELECT * FROM (SELECT user_id, event_type, CAST(value AS DECIMAL(18,2)) AS amount, ts AS updated_at, {i} AS run FROM events
-        WHERE ts < TIMESTAMP '{cut}' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type) = 1)"""
+        WHERE {'true' if cut is None else f"ts < TIMESTAMP '{cut}'"} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type) = 1)"""
     for i, cut in enumerate(_CUTS)
 )
 
@@ -175,18 +177,18 @@ def snapshot_timestamp(t: Tables) -> DataFrame:
     SELECT s.user_id, s.updated_at,
            CASE WHEN s.nxt IS NULL THEN CASE WHEN s.user_id % 10 <> 0 THEN s.event_type END END AS event_type, s.nxt IS NULL AS is_open
     FROM (SELECT *, lead(updated_at) OVER (PARTITION BY user_id ORDER BY updated_at) AS nxt
-          FROM (SELECT DISTINCT user_id, event_type, updated_at FROM ({_SEEN}) WHERE run < 2)) s
+          FROM (SELECT DISTINCT user_id, event_type, updated_at FROM ({_SEEN}))) s
     """,
 )
 def snapshot_backfill(t: Tables) -> DataFrame:
     """A column that came later, filled on open versions only; closed ones stay unknown."""
     snapshot = None
-    for cut in _CUTS[:2]:
+    for cut in _CUTS:
         snapshot = snapshots.snapshot_timestamp(
             snapshot, _seen_at(t, cut).drop("event_type", "amount"), "user_id", "updated_at"
         )
     grown = snapshot.withColumn("event_type", F.lit(None).cast("string"))
-    today = _seen_at(t, _CUTS[1]).where("user_id % 10 <> 0")
+    today = _seen_at(t, _CUTS[-1]).where("user_id % 10 <> 0")
     filled = snapshots.snapshot_backfill(grown, today, "user_id", "event_type")
     return filled.select("user_id", "updated_at", "event_type", snapshots.is_open().alias("is_open"))
 

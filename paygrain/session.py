@@ -42,14 +42,24 @@ def _local_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or else the default file system's.
 
-    Only where the cluster names none (a test, a laptop) is a temporary folder made,
-    one per process.
+    Only a session whose executors are threads of this process (master ``local``) may fall back on a
+    temporary folder of this machine, one per process. Elsewhere that would scatter parts over the
+    executors' disks, so it is an error.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    store = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    if not store.startswith("file:"):
+        return f"{store.rstrip('/')}/tmp"
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return _local_dir()
+    raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/paygrain/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared folder, in the folder of this application's run."""
+    return f"{shared_dir(spark)}/paygrain/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"

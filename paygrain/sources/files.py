@@ -45,7 +45,11 @@ def replace(spark: SparkSession, source: str, target: str) -> None:
     aside = None
     if fs.exists(dst):
         _, aside = _fs(spark, f"{source}.old")
-        fs.rename(dst, aside)
+        # Left over from a run that died after its replacement was in place.
+        if fs.exists(aside) and not fs.delete(aside, True):
+            raise OSError(f"could not remove {source}.old")
+        if not fs.rename(dst, aside):
+            raise OSError(f"could not set {target} aside")
     if not fs.rename(src, dst):
         raise OSError(f"could not rename {source} to {target}")
     if aside is not None:
