@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import OPEN_END, date_key, month_end, sunday_zero_dow
 
-# The span of the date dimension.
+# The span that the date dimension has at least.
 DIM_DATE_FROM, DIM_DATE_TO = "2015-01-01", "2026-12-31"
 
 
@@ -35,6 +38,19 @@ def dim_date(spark: SparkSession, start: str = DIM_DATE_FROM, end: str = DIM_DAT
     return describe_days(span.select(F.explode("days").alias("full_date")))
 
 
+def dim_date_for(spark: SparkSession, dates: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """The date dimension over its usual span and all whole years in which one of the columns has a date."""
+    usual = spark.sql(f"SELECT DATE '{DIM_DATE_FROM}' AS day UNION ALL SELECT DATE '{DIM_DATE_TO}'")
+    edges = [
+        df.select(F.col(column).cast("date").alias("day"))
+        .where(F.col("day") < F.lit(OPEN_END).cast("date"))
+        .agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+        .select(F.explode(F.array("lo", "hi")).alias("day"))
+        for df, column in dates
+    ]
+    return describe_days(years_spanned(reduce(DataFrame.unionByName, edges, usual), "day"))
+
+
 def years_spanned(df: DataFrame, column: str, out: str = "full_date") -> DataFrame:
     """Every day from Jan 1 of the column's first year to Dec 31 of its last.
 

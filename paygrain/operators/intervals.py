@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def interval_overlap_join(
     on: str,
     left_range: tuple[str, str],
     right_range: tuple[str, str],
-    by_month: tuple[str, str] | None = None,
+    by_month: tuple[str | date, str | date] | None = None,
 ) -> DataFrame:
     """Pairs with equal ``on`` whose closed date ranges overlap; a NULL end is open.
 

@@ -67,13 +67,17 @@ class Layout:
 
 
 def stage_movements(spark: SparkSession, layout: Layout, contract: Contract) -> None:
-    """Bring the staged movements up to date from the loads published since the last time."""
+    """Bring the staged movements up to date from the loads published since the last time.
+
+    Swapping partitions in is not one step. The newest load that left rows may have been cut short, so it is
+    taken again; the newest version of a key wins, whichever way it came.
+    """
     path = layout.staging(MOVEMENTS)
     rows = bronze.bronze_scan(spark, layout.bronze, MOVEMENTS, contract.bronze_schema)
     if files.exists(spark, path):
         done = spark.read.parquet(path).agg(F.max("_load_id")).first()[0]
         if done is not None:
-            rows = rows.where(F.col("load_id") > F.lit(done))
+            rows = rows.where(F.col("load_id") >= F.lit(done))
     newest = [F.col("updated_at").desc(), F.col("_load_id").desc()]
     upsert_partitions(stage(rows, contract), path, "movement_id", "period_id", newest_first=newest)
 
@@ -114,7 +118,14 @@ def build_movement_fact(spark: SparkSession, layout: Layout, s: Mapping[str, Dat
 
 def build_marts(spark: SparkSession, layout: Layout, s: Mapping[str, DataFrame], full: bool = False) -> None:
     """Dimensions first, then the facts that need them."""
-    full_refresh(calendar.dim_date(spark), layout.mart("dim_date"))
+    dates = [
+        (s["payroll_period"], "pay_date"),
+        (s["employment"], "termination_date"),
+        (s["settlement"], "settlement_date"),
+        (s["absence"], "start_date"),
+        (s["absence"], "end_date"),
+    ]
+    full_refresh(calendar.dim_date_for(spark, dates), layout.mart("dim_date"))
     full_refresh(marts.dim_country(s["country"]), layout.mart("dim_country"))
     full_refresh(marts.dim_concept(s["payroll_concept"]), layout.mart("dim_concept"))
     full_refresh(

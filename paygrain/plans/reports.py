@@ -34,22 +34,42 @@ def one_row(*parts: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
+def _net_cells(movements: DataFrame, date_dim: DataFrame) -> DataFrame:
+    """Net pay by year, day and country. A day the date dimension lacks stays, as an unknown day."""
+    dated = movements.join(_dates(date_dim, "year", "full_date"), F.col("pay_date_key") == F.col("date_key"), "left")
+    return dated.groupBy("year", "full_date", "country_code").agg(F.sum("signed_amount").alias("_net"))
+
+
+def net_long(movements: DataFrame, date_dim: DataFrame) -> DataFrame:
+    """Net pay by country, with totals over days and years: every country there is, one row per cell."""
+    cells = _net_cells(movements, date_dim)
+    sets = [["country_code", "year", "full_date"], ["country_code", "year"], ["country_code"]]
+    level = sum((F.grouping(c) for c in ("year", "full_date")), F.lit(0))
+    return cells.groupingSets(sets, "country_code", "year", "full_date").agg(
+        level.cast("int").alias("totals"), money(F.sum("_net")).alias("net")
+    )
+
+
 def net_matrix(movements: DataFrame, date_dim: DataFrame, countries: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Net pay by year and day, one column per country, with totals over the days and years.
 
-    There is no total over the countries: their currencies differ.
+    There is no total over the countries: their currencies differ. ``other`` is the net of a country that is
+    not among ``columns``; it is NULL where there are several, as their currencies differ too (``net_long`` has them).
     """
-    dated = movements.join(_dates(date_dim, "year", "full_date"), F.col("pay_date_key") == F.col("date_key"))
-    cells = dated.groupBy("year", "full_date", "country_code").agg(F.sum("signed_amount").alias("_net"))
+    cells = _net_cells(movements, date_dim)
+    unlisted = ~F.col("country_code").isin(list(columns))
     return cells.rollup("year", "full_date").agg(
         *[money(F.sum(F.when(F.col("country_code") == c, F.col("_net")))).alias(c) for c in columns],
+        m.guarded(
+            money(F.sum(F.when(unlisted, F.col("_net")))), F.count_distinct(F.when(unlisted, F.col("country_code"))) == 1
+        ).alias("other"),
         m.guarded(money(F.sum("_net")), m.one_country(countries, [])).alias("total"),
     )
 
 
 def net_by_month(movements: DataFrame, date_dim: DataFrame, countries: DataFrame, predicate: Column | None) -> DataFrame:
     fact, visible = sliced(movements, countries, predicate)
-    dated = fact.join(_dates(date_dim, "year", "month", "month_name"), F.col("pay_date_key") == F.col("date_key"))
+    dated = fact.join(_dates(date_dim, "year", "month", "month_name"), F.col("pay_date_key") == F.col("date_key"), "left")
     by = ["year", "month", "month_name"]
     return m.measure(dated, by, net=m.net(m.one_country(visible, by))).orderBy("year", "month")
 
@@ -68,7 +88,7 @@ def settlements_by_reason(settlements: DataFrame, countries: DataFrame, predicat
 
 
 def absence_matrix(absences: DataFrame, date_dim: DataFrame, employee_dim: DataFrame, types: Sequence[str]) -> DataFrame:
-    """Business days by department and absence type, with both totals."""
+    """Business days by department and absence type, types that are not listed under ``other``, with both totals."""
     described = m.star(
         absences,
         (_dates(date_dim, "is_weekend"), "date_key", "date_key"),
@@ -78,6 +98,7 @@ def absence_matrix(absences: DataFrame, date_dim: DataFrame, employee_dim: DataF
     return cells.rollup("department_name").agg(
         F.grouping("department_name").cast("int").alias("is_total"),
         *[F.sum(F.when(F.col("absence_type") == k, F.col("_days"))).alias(k.lower()) for k in types],
+        F.sum(F.when(~F.col("absence_type").isin(list(types)), F.col("_days"))).alias("other"),
         F.sum("_days").alias("total"),
     )
 

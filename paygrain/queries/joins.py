@@ -50,6 +50,26 @@ def point_in_time_join(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "point_in_time_hot",
+    """
+    SELECT o.o_orderkey, o.o_custkey, de.employee_sk, de.version
+    FROM orders o JOIN m_dim_employee de ON de.employment_id = o.o_custkey
+     AND CAST(o.o_orderdate AS DATE) BETWEEN de.valid_from AND de.valid_to
+    """,
+)
+def point_in_time_hot(t: Tables) -> DataFrame:
+    """The same with a task's share set so low that many customers count as hot and are split."""
+    placed = t.orders.select(
+        "o_orderkey", F.col("o_custkey").alias("employment_id"), F.col("o_orderdate").cast("date").alias("day")
+    )
+    versions = roles.dim_employee(t).select("employment_id", "employee_sk", "version", "valid_from", "valid_to")
+    hot = hot_keys(placed, "employment_id", rows_per_task=8)
+    return intervals.point_in_time_join(placed, versions, "employment_id", F.col("f.day"), hot=hot).select(
+        "o_orderkey", F.col("employment_id").alias("o_custkey"), "employee_sk", "version"
+    )
+
+
 @query(
     "point_in_time_left",
     """
@@ -100,6 +120,21 @@ def interval_overlap_join(t: Tables) -> DataFrame:
     ).select("employment_id", "country_code", "period_id", "start_date", "end_date")
 
 
+@query("interval_overlap_by_month", _ACTIVE)
+def interval_overlap_by_month(t: Tables) -> DataFrame:
+    """The same pairs with both sides cut into months, as for two large sides; the months are the periods' own."""
+    periods = roles.period(t)
+    first, last = periods.agg(F.min("start_date"), F.max("end_date")).first()
+    return intervals.interval_overlap_join(
+        employments_by_country(t).select("employment_id", "country_code", "hire_date", "termination_date"),
+        periods,
+        "country_code",
+        ("hire_date", "termination_date"),
+        ("start_date", "end_date"),
+        by_month=(first, last),
+    ).select("employment_id", "country_code", "period_id", "start_date", "end_date")
+
+
 _CODES = ["F001", "F002", "D002"]
 
 

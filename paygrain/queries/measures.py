@@ -162,6 +162,20 @@ def absent_employees(t: Tables) -> DataFrame:
 # Reports.
 
 _COUNTRIES = [f"NATION_{i}" for i in range(25)]
+_UNLISTED = "country_code NOT IN (" + ", ".join(f"'{c}'" for c in _COUNTRIES) + ")"
+
+
+@query(
+    "report_net_long",
+    """
+    SELECT f.country_code, d.year, d.full_date, CAST(grouping(d.year) + grouping(d.full_date) AS INTEGER) AS totals,
+           CAST(sum(f.signed_amount) AS DECIMAL(18,2)) AS net
+    FROM m_fct_payroll_movement f LEFT JOIN m_dim_date d ON d.date_key = f.pay_date_key
+    GROUP BY GROUPING SETS ((f.country_code, d.year, d.full_date), (f.country_code, d.year), (f.country_code))
+    """,
+)
+def net_long(t: Tables) -> DataFrame:
+    return reports.net_long(roles.fct_payroll_movement(t), date_dim(t))
 
 
 @query(
@@ -169,6 +183,8 @@ _COUNTRIES = [f"NATION_{i}" for i in range(25)]
     "WITH c AS (SELECT d.year, d.full_date, f.country_code, sum(f.signed_amount) AS net FROM m_fct_payroll_movement f "
     "JOIN m_dim_date d ON d.date_key = f.pay_date_key GROUP BY ALL)\nSELECT year, full_date, "
     + ", ".join(f"CAST(sum(CASE WHEN country_code = '{c}' THEN net END) AS DECIMAL(18,2)) AS \"{c}\"" for c in _COUNTRIES)
+    + f", CASE WHEN count(DISTINCT CASE WHEN {_UNLISTED} THEN country_code END) = 1"
+    + f" THEN CAST(sum(CASE WHEN {_UNLISTED} THEN net END) AS DECIMAL(18,2)) END AS other"
     + ", CAST(NULL AS DECIMAL(18,2)) AS total FROM c GROUP BY ROLLUP (year, full_date)",
 )
 def net_matrix(t: Tables) -> DataFrame:
@@ -220,6 +236,7 @@ _TYPES = ["SICK_LEAVE", "VACATION", "UNJUSTIFIED"]
     "LEFT JOIN m_dim_employee de ON de.employee_sk = a.employee_sk WHERE NOT d.is_weekend)\n"
     "SELECT department_name, CAST(grouping(department_name) AS INTEGER) AS is_total, "
     + ", ".join(f"CAST(nullif(count(CASE WHEN absence_type = '{k}' THEN 1 END), 0) AS BIGINT) AS {k.lower()}" for k in _TYPES)
+    + ", CAST(nullif(count(CASE WHEN absence_type NOT IN (" + ", ".join(f"'{k}'" for k in _TYPES) + ") THEN 1 END), 0) AS BIGINT) AS other"
     + ", count(*) AS total FROM f GROUP BY ROLLUP (department_name)",
 )
 def absence_matrix(t: Tables) -> DataFrame:

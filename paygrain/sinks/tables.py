@@ -6,16 +6,28 @@ incremental batch replaces only the partitions that its keys touch.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.snapshots import first_snapshot, is_open, merge_open_versions
+from ..operators.snapshots import SCD_ID, first_snapshot, is_open, merge_open_versions, snapshot_backfill
 from ..operators.upserts import delete_insert, newest_wins
 from ..sources import files
 
 
+#: An upsert that touches more partitions than this is refused: the column does not partition, it identifies.
+MAX_PARTITIONS = 100_000
+
+
+def _once(df: DataFrame, path: str) -> tuple[DataFrame, str]:
+    """Write rows beside the table, to read them as often as needed without computing them again."""
+    beside = f"{path}._once-{uuid.uuid4().hex[:12]}"
+    df.write.option("compression", "zstd").parquet(beside)
+    return df.sparkSession.read.schema(df.schema).parquet(beside), beside
+
+
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if files.exists(spark, path) else None
 
@@ -42,16 +54,28 @@ def upsert_partitions(
     whole numbers or dates and must not be NULL.
 
     With ``newest_first`` a key keeps its newest row of table and batch under that
-    order, for batches that may hold older versions than the table does.
+    order, for batches that may hold older versions than the table does. The batch is computed once.
     """
     spark = batch.sparkSession
     target = _read(spark, path)
     if target is None:
         _write_partitions(batch, path, partition)
         return
+    batch, beside = _once(batch, path)
+    try:
+        _upsert(target, batch, path, key, partition, newest_first)
+    finally:
+        files.remove(spark, beside)
+
+
+def _upsert(
+    target: DataFrame, batch: DataFrame, path: str, key: str, partition: str, newest_first: Sequence[Column] | None
+) -> None:
+    spark = batch.sparkSession
     old_homes = target.select(key, partition).join(batch.select(key), key, "left_semi").select(partition)
-    # Bounded: at most one value per partition of the table.
-    touched = [r[0] for r in old_homes.unionByName(batch.select(partition)).distinct().collect()]
+    touched = [r[0] for r in old_homes.unionByName(batch.select(partition)).distinct().limit(MAX_PARTITIONS + 1).collect()]
+    if len(touched) > MAX_PARTITIONS:
+        raise ValueError(f"{partition} has too many values to partition by")
     if not touched:
         return
     affected = target.where(F.col(partition).isin(touched))
@@ -73,20 +97,46 @@ def upsert_partitions(
 def write_snapshot_run(current: DataFrame, path: str, key: str, updated_at: str, run_id: str) -> None:
     """One snapshot run on a table partitioned by ``closed_in``.
 
-    Open versions lie in partition ``open``; a run writes the versions it closes to a
-    partition of its own, so closed history is never rewritten. Closed rows are written
-    first: a run that dies between the two writes is repeated under the same id and
-    gives the same result.
+    Open versions lie in partition ``open``; a run writes the versions it closes to a partition of its own, so
+    closed history is never rewritten. The merge is computed once. Closed rows are written first. A run that
+    dies between the two writes leaves versions both closed and open; the next one, under whatever id, closes
+    the open ones again and leaves out those that are stored as closed already.
     """
     spark = current.sparkSession
     if not files.exists(spark, path):
-        merged = first_snapshot(current, key, updated_at)
-    else:
-        open_rows = read_partitions(spark, path).where("closed_in = 'open'").drop("closed_in")
-        merged = merge_open_versions(open_rows, current, key, updated_at)
-        closed = merged.where(~is_open()).withColumn("closed_in", F.lit(run_id))
-        _write_partitions(closed, path, "closed_in")
-    _write_partitions(merged.where(is_open()).withColumn("closed_in", F.lit("open")), path, "closed_in")
+        merged = first_snapshot(current, key, updated_at).withColumn("closed_in", F.lit("open"))
+        _write_partitions(merged, path, "closed_in")
+        return
+    stored = read_partitions(spark, path)
+    open_rows = stored.where("closed_in = 'open'").drop("closed_in")
+    merged, beside = _once(merge_open_versions(open_rows, current, key, updated_at), path)
+    try:
+        known = stored.where("closed_in <> 'open'").select(SCD_ID)
+        closed = merged.where(~is_open()).join(known, SCD_ID, "left_anti").select(*merged.columns)
+        _write_partitions(closed.withColumn("closed_in", F.lit(run_id)), path, "closed_in")
+        _write_partitions(merged.where(is_open()).withColumn("closed_in", F.lit("open")), path, "closed_in")
+    finally:
+        files.remove(spark, beside)
+
+
+def backfill_snapshot(spark: SparkSession, path: str, current: DataFrame, key: str, column: str) -> int:
+    """Fill NULLs of a column on the stored open versions from today's rows; returns how many were filled.
+
+    Only partition ``open`` is read and rewritten, and only if there is something to fill. A second run fills
+    nothing.
+    """
+    open_rows = read_partitions(spark, path).where("closed_in = 'open'").drop("closed_in")
+    if column not in open_rows.columns:
+        open_rows = open_rows.withColumn(column, F.lit(None).cast(current.schema[column].dataType))
+    filled, beside = _once(snapshot_backfill(open_rows, current, key, column), path)
+    try:
+        count = lambda df: df.where(F.col(column).isNotNull()).count()
+        updated = count(filled) - count(open_rows)
+        if updated:
+            _write_partitions(filled.withColumn("closed_in", F.lit("open")), path, "closed_in")
+        return updated
+    finally:
+        files.remove(spark, beside)
 
 
 def _write_partitions(df: DataFrame, path: str, partition: str) -> None:

@@ -8,7 +8,8 @@ the mark. A run that dies repeats its window; duplicates are removed in staging.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,15 +57,22 @@ def publish_load(df: DataFrame, bronze: str, folder: str, load_id: str) -> str:
     return target
 
 
+def newest_change(read: Reader, contract: Contract, source: DataFrame) -> datetime | None:
+    """The frozen bound, asked of the source itself where it can answer."""
+    ask = getattr(read, "newest", None)
+    return ask(contract) if ask else freeze_high(source, contract.watermark)
+
+
 def extract_table(
-    source: DataFrame, contract: Contract, bronze: str, low: datetime, load_id: str
+    read: Reader, contract: Contract, bronze: str, low: datetime, load_id: str
 ) -> tuple[int, datetime | None]:
     """Load one table's window; returns its rows and new mark, or (0, None) if nothing changed.
 
     The window is empty exactly when the frozen bound does not exceed the old mark, so
     an unchanged table costs one aggregate and writes nothing.
     """
-    high = freeze_high(source, contract.watermark)
+    source = read(contract)
+    high = newest_change(read, contract, source)
     if high is None or high <= low:
         return 0, None
     window = incremental_window(source.select(*contract.columns), contract.watermark, low, high)
@@ -101,7 +109,7 @@ def run_extract(
             continue
         started = time.perf_counter()
         low = marks.get(contract.source, EPOCH) if mode == "incremental" else EPOCH
-        rows, high = extract_table(read(contract), contract, bronze, low, load_id)
+        rows, high = extract_table(read, contract, bronze, low, load_id)
         if high is not None:
             store.advance(contract.source, high)
             marks[contract.source] = high
@@ -121,15 +129,55 @@ def bronze_scan(spark: SparkSession, bronze: str, folder: str, schema=None) -> D
     return reader.parquet(f"{root}/load_id=*").withColumn("load_id", F.col("load_id").cast("string"))
 
 
-def jdbc_reader(spark: SparkSession, url: str, **options: str) -> Reader:
-    """Read contract tables over JDBC; the window filter and the maximum are pushed down.
+@dataclass(frozen=True)
+class JdbcSource:
+    """Reads contract tables over JDBC, large ones through several connections.
 
-    Pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` to
-    read a large table in parallel, and the driver and credentials as usual.
+    ``splits`` names, per source table, the number of connections; their ranges lie on the table's key, which
+    must then be a number or date. The key's bounds and the newest change are asked for as one-row queries, so
+    neither reads the table. ``options`` go to every read (driver, credentials).
     """
 
-    def read(contract: Contract) -> DataFrame:
-        settings = {"preferTimestampNTZ": "true", **options}
-        return spark.read.format("jdbc").options(url=url, dbtable=contract.source, **settings).load()
-
-    return read
+    spark: SparkSession
+    url: str
+    splits: Mapping[str, int] = field(default_factory=dict)
+    fetch_rows: int = ROWS_PER_FILE // 50
+    options: Mapping[str, str] = field(default_factory=dict)
+
+    def settings(self, table: str) -> dict[str, str]:
+        """Options of one read. ``table`` is a name or a query in brackets with an alias."""
+        return {
+            "url": self.url, "dbtable": table, "fetchsize": str(self.fetch_rows), "preferTimestampNTZ": "true", **self.options
+        }
+
+    def ranged(self, contract: Contract, low: object, high: object) -> dict[str, str]:
+        """Options of a table's read, cut into ranges of its key where it is to be split and has rows."""
+        settings, parts = self.settings(contract.source), self.splits.get(contract.source, 1)
+        if parts > 1 and low is not None:
+            settings |= {"partitionColumn": contract.key, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(parts)}
+        return settings
+
+    @staticmethod
+    def edges_query(contract: Contract) -> str:
+        return f"(SELECT MIN({contract.key}) AS low, MAX({contract.key}) AS high FROM {contract.source}) edges"
+
+    @staticmethod
+    def newest_query(contract: Contract) -> str:
+        return f"(SELECT MAX({contract.watermark}) AS newest FROM {contract.source}) newest"
+
+    def _load(self, settings: Mapping[str, str]) -> DataFrame:
+        return self.spark.read.format("jdbc").options(**settings).load()
+
+    def newest(self, contract: Contract) -> datetime | None:
+        return self._load(self.settings(self.newest_query(contract))).first()[0]
+
+    def __call__(self, contract: Contract) -> DataFrame:
+        low = high = None
+        if self.splits.get(contract.source, 1) > 1:
+            low, high = self._load(self.settings(self.edges_query(contract))).first()
+        return self._load(self.ranged(contract, low, high))
+
+
+def jdbc_reader(spark: SparkSession, url: str, splits: Mapping[str, int] | None = None, **options: str) -> Reader:
+    """A ``JdbcSource``; the window's filter and columns are pushed into its reads."""
+    return JdbcSource(spark, url, splits or {}, options=options)

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from paygrain.operators.quality import QualityError
 from paygrain.plans import build
 from paygrain.sinks.export import export_for_bi
+from paygrain.sinks import tables
 from paygrain.sinks.tables import read_snapshot
 from paygrain.sources import bronze
+from paygrain.sources.contracts import contract_for
 from paygrain.sources.staging import register_views, stage_all
 from paygrain.sources.watermarks import WatermarkStore
 
@@ -139,6 +141,32 @@ def test_later_runs(spark, warehouse):
     assert rows(read_snapshot(spark, layout.snapshot)) == snapshot_before
 
 
+def test_staging_survives_a_crash_after_one_partition(spark, tmp_path, monkeypatch):
+    """A commit that swapped in one of two partitions: the next run, with a new load or none, completes it."""
+    layout, source = build.Layout(str(tmp_path)), Source()
+    store, contract = WatermarkStore(spark, layout.state), contract_for("payroll.PayrollMovement")
+    extract = lambda load: bronze.run_extract(spark, source.reader(spark), layout.bronze, store, contracts=[contract], load_id=load)
+    extract("L1")
+    build.stage_movements(spark, layout, contract)
+    changed = [(*r[:4], money(777)) for r in source.rows[contract.source]]
+    source.put(contract.source, *changed, at=datetime(2025, 1, 9))
+    extract("L2")
+    write = tables._write_partitions
+
+    def cut_short(df, path, partition):
+        values = sorted(r[0] for r in df.select(partition).distinct().collect())
+        write(df.where(F.col(partition) == values[0]), path, partition)
+        raise OSError("power cut")
+
+    monkeypatch.setattr(tables, "_write_partitions", cut_short)
+    with pytest.raises(OSError):
+        build.stage_movements(spark, layout, contract)
+    monkeypatch.undo()
+    build.stage_movements(spark, layout, contract)
+    staged = spark.read.parquet(layout.staging(build.MOVEMENTS))
+    assert rows(staged, "amount") == [(money(777),)] * 10
+
+
 def test_staging_views(spark, warehouse):
     register_views(stage_all(spark, warehouse[0].bronze))
     assert spark.sql("select count(*), count(distinct _load_id) from stg_payroll_movement").first()[0] == 11

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from paygrain.functions import dates, keys, text
 from paygrain.operators import assign, calendar, intervals, measures, quality, rules, sequences, skew, snapshots, upserts
+from paygrain.plans import reports
 
 D = date.fromisoformat
 OPEN = D("9999-12-31")
@@ -293,3 +294,55 @@ def test_gate_raises_on_errors_only(spark):
     assert {r.check_name: r.outcome for r in quality.enforce(report)} == {"a": "pass", "b": "warn"}
     with pytest.raises(quality.QualityError, match=r"b \(3\)"):
         quality.enforce(quality.quality_report([quality.Check("b", bad)]))
+
+
+def test_fractional_weights_add_no_rows(spark):
+    """A choice narrower than a slot takes none from its neighbours; doubles and shares work alike."""
+    for kind in ("decimal(9,4)", "double"):
+        weights = spark.createDataFrame([("a", "30.5"), ("b", "0.3"), ("c", "69.2")], "choice string, weight string").select(
+            "choice", F.col("weight").cast(kind).alias("weight")
+        )
+        draws = spark.range(100).select("id", F.col("id").alias("draw"))
+        got = assign.weighted_bucket(draws, "draw", weights, "choice", "weight", 100).collect()
+        assert len(got) == 100
+        assert {r.draw for r in got if r.choice == "a"} == set(range(31)) and not [r for r in got if r.choice == "b"]
+
+
+def test_negative_weights_raise(spark):
+    weights = spark.createDataFrame([("a", 30), ("b", -5)], "choice string, weight int")
+    draws = spark.range(10).select("id", F.col("id").alias("draw"))
+    with pytest.raises(Exception, match="negative"):
+        assign.weighted_bucket(draws, "draw", weights, "choice", "weight", 100).collect()
+
+
+def test_split_join_refuses_other_kinds(spark, history):
+    _, df = history
+    with pytest.raises(ValueError, match="inner and left"):
+        intervals.point_in_time_join(df, df, "k", F.col("f.day"), how="full_outer")
+
+
+def test_date_dimension_follows_the_dates(spark):
+    late = spark.createDataFrame([(D("2031-03-04"),), (D("2012-07-01"),), (OPEN,), (None,)], "d date")
+    days = calendar.dim_date_for(spark, [(late, "d"), (late.where("false"), "d")])
+    edges = days.agg(F.min("full_date"), F.max("full_date"), F.count("*")).first()
+    assert tuple(edges) == (D("2012-01-01"), D("2031-12-31"), (D("2031-12-31") - D("2012-01-01")).days + 1)
+    usual = calendar.dim_date_for(spark, [(late.where("false"), "d")])
+    assert rows(usual) == rows(calendar.dim_date(spark))
+
+
+def test_reports_keep_what_is_not_listed(spark):
+    """A country, an absence type and a pay date outside today's lists."""
+    dates_ = calendar.dim_date(spark)
+    paid = spark.createDataFrame(
+        [("MX", 20240105, Decimal(5)), ("ZZ", 20240105, Decimal(7)), ("ZZ", 20990101, Decimal(1))],
+        "country_code string, pay_date_key int, signed_amount decimal(18,2)",
+    )
+    countries = spark.createDataFrame([("MX",), ("ZZ",)], "country_code string")
+    matrix = reports.net_matrix(paid, dates_, countries, ["MX"]).where("year is null and full_date is null").collect()
+    assert sorted((r.MX, r.other) for r in matrix if r.MX) == [(Decimal("5.00"), Decimal("8.00"))]
+    long = reports.net_long(paid, dates_).where("totals = 2")
+    assert rows(long, "country_code", "net") == [("MX", Decimal("5.00")), ("ZZ", Decimal("8.00"))]
+    away = spark.createDataFrame([("NEW", 20240105, "s"), ("VACATION", 20240105, "s")], "absence_type string, date_key int, employee_sk string")
+    people = spark.createDataFrame([("s", "d")], "employee_sk string, department_name string")
+    total = reports.absence_matrix(away, dates_, people, ["VACATION"]).where("is_total = 1").first()
+    assert (total.vacation, total.other, total.total) == (1, 1, 2)
