@@ -25,7 +25,7 @@ from .merges import Merger, merger_of_ranks, read_ranks
 
 #: The pre-token pattern of the rank files that is understood here; others are refused.
 PATTERN = public_tokenizers.PATTERN
-#: Pieces and pre-tokens remembered by a worker; when full, the memory starts afresh. Results do not depend on it.
+#: Pieces a worker remembers, twice over (recent ones and older ones). Results do not depend on it.
 REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
 
 
@@ -62,16 +62,19 @@ def tiktoken_classes() -> Classes:
     return Classes(*(_body(members(p)) for p in (r"\p{L}", r"\p{N}", r"\s")))
 
 
-class _Memory(dict):
-    """Results by text, made when first asked for."""
+class Memory(dict):
+    """Results by text, made when first asked for. When full, what was not asked for since the last time is forgotten."""
 
-    def __init__(self, make: Callable[[str], bytes]) -> None:
-        self.make = make
+    def __init__(self, make: Callable[[str], bytes], size: int = REMEMBERED) -> None:
+        self.make, self.size, self.older = make, size, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.size:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -89,9 +92,8 @@ class Encoder:
         ).findall
         self.uneven = re.compile(rf" (?:[\s{spaces}]|$)").search
         self.cut = re.compile(f" (?=[^{spaces}])").split
-        self.words = _Memory(self._merge)
-        self.plain = _Memory(self._piece)
-        self.spaced = _Memory(lambda piece: self._piece(" " + piece))
+        self.plain = Memory(self._piece, REMEMBERED // 4)
+        self.spaced = Memory(lambda piece: self._piece(" " + piece))  # by the piece without its space
 
     def _merge(self, word: str) -> bytes:
         ids = self.byte_ids
@@ -99,7 +101,10 @@ class Encoder:
         return np.array(merged, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, self.pre_tokens(piece)))
+        words = self.pre_tokens(piece)
+        if len(words) == 1:
+            return self._merge(piece)
+        return b"".join([self.spaced[w[1:]] if w[0] == " " and len(w) > 1 else self.plain[w] for w in words])
 
     def encode(self, text: str) -> bytes:
         first, *rest = self.cut(text) if self.uneven(text) else text.split(" ")

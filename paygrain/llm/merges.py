@@ -7,91 +7,84 @@ import json
 from collections.abc import Mapping
 from heapq import heappop, heappush
 
-_GROUP = 256
-
-
-class RankQueue:
-    """Positions by merge rank. Two bitmaps say which ranks have any: one bit per group of ranks, one per rank.
-
-    The lowest set bit of either gives the next rank; the bucket of that rank gives its leftmost position.
-    """
-
-    __slots__ = ("groups", "ranks", "buckets")
-
-    def __init__(self) -> None:
-        self.groups = 0
-        self.ranks: dict[int, int] = {}
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        group, bit = divmod(rank, _GROUP)
-        self.ranks[group] = self.ranks.get(group, 0) | 1 << bit
-        self.groups |= 1 << group
-
-    def pop(self) -> tuple[int, int]:
-        """Lowest rank and its leftmost position; only while ``groups`` is not zero."""
-        group = (self.groups & -self.groups).bit_length() - 1
-        bits = self.ranks[group]
-        rank = group * _GROUP + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            bits &= bits - 1
-            self.ranks[group] = bits
-            if not bits:
-                self.groups &= self.groups - 1
-        return rank, position
-
-
 class Merger:
     """Merges symbol ids pair by pair, lowest rank first, leftmost first among equal ranks.
 
     ``pairs`` maps ``left << 32 | right`` to a rank, ``made`` maps a rank to the id it makes.
+
+    The queue is a hierarchical bitmap over ranks: ``groups`` has a bit for every 256 ranks of which any is
+    waiting, ``bits`` the ranks of each such group. The lowest set bit of either names the next rank; its
+    bucket, a heap, names the leftmost position. Positions form a linked list. A bucket entry whose pair has
+    changed since is stale and skipped. A merge costs the logarithm of a bucket's size, whatever the length.
     """
 
     def __init__(self, pairs: Mapping[int, int], made: Mapping[int, int] | list[int]) -> None:
         self.pairs, self.made = pairs, made
 
     def merge(self, ids: list[int]) -> list[int]:
-        n = len(ids)
-        if n < 2:
-            return ids
         get, made = self.pairs.get, self.made
-        ids = list(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank_at = [get(ids[i] << 32 | ids[i + 1], -1) for i in range(n - 1)]
-        rank_at.append(-1)
-        queue = RankQueue()
-        push, pop = queue.push, queue.pop
+        rank_at = [get(a << 32 | b) for a, b in zip(ids, ids[1:], strict=False)]
+        groups = 0
+        bits: dict[int, int] = {}
+        buckets: dict[int, list[int]] = {}
         for i, rank in enumerate(rank_at):
-            if rank >= 0:
-                push(rank, i)
-        while queue.groups:
-            rank, i = pop()
+            if rank is not None:
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    group = rank >> 8
+                    bits[group] = bits.get(group, 0) | 1 << (rank & 255)
+                    groups |= 1 << group
+        if not groups:
+            return ids
+        ids, n = list(ids), len(ids)
+        rank_at.append(None)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while groups:
+            group = (groups & -groups).bit_length() - 1
+            waiting = bits[group]
+            rank = group << 8 | (waiting & -waiting).bit_length() - 1
+            bucket = buckets[rank]
+            i = heappop(bucket)
+            if not bucket:
+                del buckets[rank]
+                waiting = bits[group] = waiting & (waiting - 1)
+                if not waiting:
+                    groups &= groups - 1
             if rank_at[i] != rank:
-                continue  # stale: this pair has changed since
+                continue
             j = after[i]
-            ids[i] = made[rank]
-            rank_at[j] = -1
+            merged = ids[i] = made[rank]
             ids[j] = -1
+            rank_at[j] = None
             k = after[i] = after[j]
+            h = before[i]
             if k < n:
                 before[k] = i
-                new = rank_at[i] = get(ids[i] << 32 | ids[k], -1)
-                if new >= 0:
-                    push(new, i)
+                right = rank_at[i] = get(merged << 32 | ids[k])
             else:
-                rank_at[i] = -1
-            h = before[i]
+                right = rank_at[i] = None
             if h >= 0:
-                new = rank_at[h] = get(ids[h] << 32 | ids[i], -1)
-                if new >= 0:
-                    push(new, h)
+                left = rank_at[h] = get(ids[h] << 32 | merged)
+            else:
+                left = None
+            if right is not None:
+                if right in buckets:
+                    heappush(buckets[right], i)
+                else:
+                    buckets[right] = [i]
+                    group = right >> 8
+                    bits[group] = bits.get(group, 0) | 1 << (right & 255)
+                    groups |= 1 << group
+            if left is not None:
+                if left in buckets:
+                    heappush(buckets[left], h)
+                else:
+                    buckets[left] = [h]
+                    group = left >> 8
+                    bits[group] = bits.get(group, 0) | 1 << (left & 255)
+                    groups |= 1 << group
         return [x for x in ids if x >= 0]
 
 
