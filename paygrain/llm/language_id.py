@@ -55,8 +55,9 @@ class Model:
 def training_sample(docs: DataFrame, per_language: int = TRAIN_DOCS) -> DataFrame:
     """lang and text of at most ``per_language`` labelled documents of each language that are not held out.
 
-    A threshold from the counts thins every language to about twice the bound before the ranking, so
-    that the ranking shuffles a bounded number of texts however many documents there are.
+    A threshold from the counts (one number per language comes to the driver, as the model will) thins every
+    language to about twice the bound where the texts are read, so that the ranking shuffles a bounded number
+    of texts however many documents there are and however unevenly the languages are spread.
     """
     place = F.pmod(F.xxhash64("doc_id", F.lit("language id")), F.lit(1 << 31))
     labelled = (
@@ -65,9 +66,9 @@ def training_sample(docs: DataFrame, per_language: int = TRAIN_DOCS) -> DataFram
         .where(~held_out(F.col("doc_id")))
         .withColumn("place", place)
     )
-    share = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = share.select("lang", (F.lit(2.0 * per_language + 100) / F.col("n") * (1 << 31)).alias("below"))
-    thin = labelled.join(share, "lang").where(F.col("place") < F.col("below"))
+    counts = labelled.groupBy("lang").count().collect()
+    below = [F.lit(x) for lang, n in counts for x in (lang, (2 * per_language + 100) / n * (1 << 31))]
+    thin = labelled.where(F.col("place") < F.element_at(F.create_map(*below), F.col("lang"))) if counts else labelled
     by_place = Window.partitionBy("lang").orderBy("place", "doc_id")
     ranked = thin.withColumn("rank", F.row_number().over(by_place)).where(F.col("rank") <= per_language)
     return ranked.select("lang", "text")
@@ -184,7 +185,7 @@ def build_model(grams: pd.DataFrame, max_contexts: int = MAX_CONTEXTS) -> Model:
             if c not in known:
                 known[c] = code_lengths([tree[c[k:]] for k in range(len(c) + 1)], 256 - len(used))
             costs[i, :, j] = known[c]
-    return Model(languages, symbols, states.ravel(), costs.reshape(-1, len(languages)))
+    return Model(languages, symbols, states.ravel(), costs.reshape(len(contexts) * size, len(languages)))
 
 
 def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
