@@ -44,6 +44,14 @@ def with_total(fact: DataFrame, t: Tables, make) -> DataFrame:
     return fact.rollup("country_code").agg(*[c.alias(name) for name, c in make(guard).items()])
 
 
+def summed_with_total(fact: DataFrame, t: Tables, name: str, measure: Column, one_currency: bool = True) -> DataFrame:
+    """An additive measure per country and in total: summed per country, then rolled up from those few rows."""
+    cells = fact.groupBy("country_code").agg(measure.alias(name))
+    if not one_currency:
+        return cells.rollup("country_code").agg(F.sum(name).alias(name))
+    return with_total(cells, t, lambda guard: {name: m.guarded(money(F.sum(name)), guard)})
+
+
 def with_concept(t: Tables) -> DataFrame:
     concepts = roles.dim_concept(t).select("concept_key", "concept_type", "concept_code")
     return m.star(roles.fct_payroll_movement(t), (concepts, "concept_key", "concept_key"))
@@ -106,7 +114,7 @@ def net_guarded(t: Tables) -> DataFrame:
     ),
 )
 def earnings(t: Tables) -> DataFrame:
-    return with_total(with_concept(t), t, lambda g: {"earnings": m.earnings(g)})
+    return summed_with_total(with_concept(t), t, "earnings", m.earnings(F.lit(True)))
 
 
 @query(
@@ -117,7 +125,7 @@ def earnings(t: Tables) -> DataFrame:
     ),
 )
 def deductions(t: Tables) -> DataFrame:
-    return with_total(with_concept(t), t, lambda g: {"deductions": m.deductions(g)})
+    return summed_with_total(with_concept(t), t, "deductions", m.deductions(F.lit(True)))
 
 
 def _counted(name: str, what: str, fact: str) -> str:
@@ -128,7 +136,7 @@ query("m_paid_employees", _counted("paid_employees", "count(DISTINCT employment_
     lambda t: with_total(roles.fct_payroll_movement(t), t, lambda g: {"paid_employees": m.distinct_employments()})
 )
 query("m_settlements", _counted("settlements", "count(*)", "m_fct_settlement"))(
-    lambda t: with_total(roles.fct_settlement(t), t, lambda g: {"settlements": m.rows()})
+    lambda t: summed_with_total(roles.fct_settlement(t), t, "settlements", m.rows(), one_currency=False)
 )
 query(
     "m_paid_indemnity",
@@ -136,7 +144,7 @@ query(
         x="CAST(sum(CASE WHEN status = 'PAID' THEN indemnity_amount END) AS DECIMAL(18,2)) AS paid_indemnity",
         f="m_fct_settlement",
     ),
-)(lambda t: with_total(roles.fct_settlement(t), t, lambda g: {"paid_indemnity": m.paid_indemnity(g)}))
+)(lambda t: summed_with_total(roles.fct_settlement(t), t, "paid_indemnity", m.paid_indemnity(F.lit(True))))
 _AWAY = "m_fct_absence_day JOIN (SELECT date_key, is_weekend FROM m_dim_date) USING (date_key)"
 
 
