@@ -43,14 +43,15 @@ NAME, UNIT, NUMBER = -1, -2, -3
 def template(text: Column) -> Column:
     """The text's words, slot words marked: a name with \\x01, a unit with \\x02, a number by its first digit.
 
-    Punctuation is dropped, so that words keep their count and place on both sides.
+    Words are runs of letters and digits; points and commas inside a number belong to it. The patterns start
+    with what is rare, so that most places of a text are passed at once.
     """
-    plain = F.translate(F.coalesce(text, F.lit("")), _NAME + _UNIT, "")
-    names = F.regexp_replace(plain, r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)", _NAME + "$1")
-    units = F.regexp_replace(names, rf"(?<=[0-9] )({'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])", _UNIT + "$1")
-    letters = F.lower(F.regexp_replace(units, rf"[^\p{{L}}\p{{N}}\s{_NAME}{_UNIT}]+", ""))
-    trimmed = F.regexp_replace(letters, r"^\s+|\s+$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s+"))
+    plain = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit(_NAME), F.lit("")), F.lit(_UNIT), F.lit(""))
+    names = F.regexp_replace(plain, r"(?=\p{Lu})(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)", _NAME + "$1")
+    whole = F.regexp_replace(names, r"([0-9])[.,](?=[0-9])", "$1")
+    units = F.regexp_replace(whole, rf"([0-9] )({'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])", "$1" + _UNIT + "$2")
+    marked = F.when(names.rlike("[0-9]"), units).otherwise(names)
+    return F.array_remove(F.split(F.lower(marked), rf"[^\p{{L}}\p{{N}}{_NAME}{_UNIT}]+"), "")
 
 
 def _once(df: DataFrame, **columns: str) -> DataFrame:
@@ -59,26 +60,36 @@ def _once(df: DataFrame, **columns: str) -> DataFrame:
     return df.select("*", F.inline(made))
 
 
+def _is_slot(word: str) -> str:
+    return f"(ascii({word}) IN (1, 2) OR ascii({word}) BETWEEN 48 AND 57)"
+
+
 def _windows(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """``keys``, position and hash of every template window; the hash of eight is made by doubling one, two, four."""
+    """``keys``, all words, position and hash of every template window; the hash of eight is made by doubling.
+
+    The last step is the bare generator: what is selected of ``words`` behind a broadcast join is then only
+    taken for windows that match.
+    """
     coded = _once(
         df.select(*keys, template(F.col(text)).alias("words")),
         h1=f"transform(words, w -> CASE WHEN ascii(w) = 1 THEN {NAME}L WHEN ascii(w) = 2 THEN {UNIT}L"
         f" WHEN ascii(w) BETWEEN 48 AND 57 THEN {NUMBER}L ELSE xxhash64(w) END)",
-    ).drop("words")
+    )
     pair = "if(size({a}) <= {k}, array(), zip_with(slice({a}, 1, size({a}) - {k}), slice({a}, {k} + 1, size({a}) - {k}), (x, y) -> xxhash64(x, y)))"
-    two = _once(coded, h2=pair.format(a="h1", k=1))
+    two = _once(coded, h2=pair.format(a="h1", k=1)).drop("h1")
     four = _once(two, h4=pair.format(a="h2", k=2)).drop("h2")
-    return four.select(*keys, "h1", F.posexplode(F.expr(pair.format(a="h4", k=4))).alias("pos", "hash"))
+    eight = _once(four, h8=pair.format(a="h4", k=4)).drop("h4")
+    return eight.select(*keys, "words", F.posexplode("h8").alias("pos", "hash"))
 
 
-def _slots(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """``keys``, position, kind and value of every slot word."""
-    words = _once(df.select(*keys, template(F.col(text)).alias("words")), coded=(
-        f"filter(transform(words, (w, i) -> struct(i AS pos, CASE WHEN ascii(w) = 1 THEN {NAME} WHEN ascii(w) = 2 THEN {UNIT}"
-        f" WHEN ascii(w) BETWEEN 48 AND 57 THEN {NUMBER} END AS kind, w AS value)), x -> x.kind IS NOT NULL)"
-    ))
-    return words.select(*keys, F.inline("coded"))
+def _matches(docs: DataFrame, keys: Sequence[str], text: str, items: DataFrame, small: bool) -> DataFrame:
+    """``keys``, item_id, item_pos and shift of every matching window, and both sides' words where it has slots."""
+    windows, own = _windows(docs, keys, text), F.slice("words", F.col("pos") + 1, WINDOW)
+    if small:
+        met = windows.join(F.broadcast(items), "hash").withColumn("own", F.when(F.col("item_words").isNotNull(), own))
+    else:
+        met = windows.select(*keys, "pos", "hash", own.alias("own")).join(items, "hash")
+    return met.select(*keys, "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "own", "item_words")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, keys: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -92,39 +103,31 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, keys: Sequence[str] = (
     """
     keys = list(keys)
     docs, benchmark = docs.where(F.col(keys[0]).isNotNull()), benchmark.where(F.col("item_id").isNotNull())
-    items = _windows(benchmark, ["item_id"], "text")
-    near = F.slice("h1", F.col("pos") + 1, WINDOW)
-    literals = F.size(F.filter(near, lambda h: ~h.isin(NAME, UNIT, NUMBER)))
-    item_windows, _ = written(
-        items.where(literals >= MIN_LITERALS).select("item_id", F.col("pos").alias("item_pos"), "hash").distinct(), "item-windows"
-    )
-    sizes = item_windows.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_item"))
-    sent = F.broadcast(item_windows) if item_windows.count() <= BROADCAST_WINDOWS else item_windows
-    matches = _windows(docs, keys, text).drop("h1").join(sent, "hash")
-    diagonal = F.col("pos") - F.col("item_pos")
-    # First per diagonal, so that a window repeated all over a document is counted where it stands.
-    lines = matches.groupBy(*keys, "item_id", diagonal.alias("shift")).agg(
-        F.min("item_pos").alias("low"), (F.max("item_pos") + WINDOW).alias("high"), F.collect_set("item_pos").alias("hit")
+    items = _windows(benchmark, ["item_id"], "text").withColumn("own", F.slice("words", F.col("pos") + 1, WINDOW))
+    slots = F.expr(f"size(filter(own, w -> {_is_slot('w')}))")
+    items = items.where(WINDOW - slots >= MIN_LITERALS).select(
+        "item_id", F.col("pos").alias("item_pos"), "hash", F.when(slots > 0, F.col("own")).alias("item_words")
     )
-    lines, _ = written(lines, "leak-lines")
-
-    # Slots of the matching stretches, paired by place.
-    item_slots = _slots(benchmark, ["item_id"], "text").select(
-        "item_id", F.col("pos").alias("item_pos"), "kind", F.col("value").alias("item_value")
+    items, _ = written(items.distinct(), "item-windows")
+    sizes = items.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_item"))
+    matches, _ = written(_matches(docs, keys, text, items, items.count() <= BROADCAST_WINDOWS), "leak-windows")
+
+    # The values that fill the slots of one diagonal, each place once.
+    line = [*keys, "item_id", "shift"]
+    pairs = matches.where("own IS NOT NULL").select(*line, "item_pos", F.posexplode(F.arrays_zip("own", "item_words")).alias("i", "p"))
+    pairs = pairs.where(_is_slot("p.own")).select(
+        *line, (F.col("item_pos") + F.col("i")).alias("place"), F.col("p.own").alias("value"), F.col("p.item_words").alias("item_value")
     )
-    doc_slots = _slots(docs, keys, text)
-    wanted = lines.join(item_slots, "item_id").where(F.col("item_pos").between(F.col("low"), F.col("high") - 1))
-    wanted = wanted.select(*keys, "item_id", "shift", (F.col("item_pos") + F.col("shift")).alias("pos"), "kind", "item_value")
-    paired = wanted.join(doc_slots, [*keys, "pos", "kind"])
-    checked = paired.groupBy(*keys, "item_id", "shift").agg(
-        F.count_distinct("kind", "item_value", "value").alias("pairs"),
-        F.count_distinct("kind", "item_value").alias("lefts"),
-        F.count_distinct("kind", "value").alias("rights"),
-        F.count_distinct("pos").alias("n_slots"),
-        F.count_distinct(F.when(F.col("item_value") != F.col("value"), F.col("pos"))).alias("n_changed"),
+    # A mark or digit in front tells the kinds apart, numbers by their first digit.
+    filled = pairs.groupBy(*line).agg(
+        F.count_distinct("item_value", "value").alias("both"),
+        F.count_distinct("item_value").alias("lefts"),
+        F.count_distinct("value").alias("rights"),
+        F.count_distinct("place").alias("n_slots"),
+        F.count_distinct(F.when(F.col("item_value") != F.col("value"), F.col("place"))).alias("n_changed"),
     )
-    consistent = (F.col("pairs").isNull()) | ((F.col("pairs") == F.col("lefts")) & (F.col("pairs") == F.col("rights")))
-    good = lines.join(checked, [*keys, "item_id", "shift"], "left").where(consistent)
+    lines = matches.groupBy(*line).agg(F.collect_set("item_pos").alias("hit")).join(filled, line, "left")
+    good = lines.where("both IS NULL OR (both = lefts AND both = rights)")
     found = good.groupBy(*keys, "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("long").alias("n_windows"),
         F.coalesce(F.sum("n_slots"), F.lit(0)).alias("n_slots"),
