@@ -8,6 +8,7 @@ from functools import cached_property, wraps
 from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class Tables:
@@ -28,6 +29,17 @@ class Tables:
     orders = cached_property(lambda self: self._read("orders"))
     lineitem = cached_property(lambda self: self._read("lineitem"))
     events = cached_property(lambda self: self._read("events"))
+    # The orders that calendars span and the customers that are people; the same however the others are sliced.
+    dated_orders = cached_property(lambda self: self.orders)
+    people = cached_property(lambda self: self.customer)
+
+    def only(self, customers: DataFrame) -> Tables:
+        """The tables under a slicer on customers: every window and join then sees no rows of others."""
+        part = Tables(self.spark, self.folder)
+        part.customer, part.dated_orders, part.people = customers, self.dated_orders, self.people
+        mine = customers.select(F.col("c_custkey").alias("o_custkey"))
+        part.orders = self.orders.join(mine, "o_custkey", "left_semi").select(*self.orders.columns)
+        return part
 
 
 Query = Callable[[Tables], DataFrame]

@@ -15,7 +15,7 @@ from .base import Tables, cte, query, role
 @role
 def date_dim(t: Tables) -> DataFrame:
     """The date dimension over the years of the orders and the year after, for late absences."""
-    days = t.orders.select(F.col("o_orderdate").cast("date").alias("d"))
+    days = t.dated_orders.select(F.col("o_orderdate").cast("date").alias("d"))
     bounds = days.agg(F.min("d").alias("lo"), F.add_months(F.max("d"), 12).alias("hi"))
     edges = bounds.select(F.explode(F.array("lo", "hi")).alias("d"))
     return calendar.describe_days(calendar.years_spanned(edges, "d"))
@@ -38,6 +38,12 @@ def _slicer() -> Column:
     return F.col("country_code") == _COUNTRY
 
 
+def _sliced(t: Tables) -> Tables:
+    """The tables of the slicer's country: an employment belongs to one country for good."""
+    chosen = roles.country(t).where(_slicer()).select(F.col("country_no").alias("c_nationkey"))
+    return t.only(t.customer.join(chosen, "c_nationkey", "left_semi").select(*t.customer.columns))
+
+
 def with_total(fact: DataFrame, t: Tables, make) -> DataFrame:
     """Measures per country and in total; ``make`` gets the guard, which fails on the total."""
     guard = (F.grouping("country_code") == 0) | m.one_country(roles.country(t), [])
@@ -208,7 +214,7 @@ def net_matrix(t: Tables) -> DataFrame:
     """,
 )
 def net_by_month(t: Tables) -> DataFrame:
-    return reports.net_by_month(roles.fct_payroll_movement(t), date_dim(t), roles.country(t), _slicer())
+    return reports.net_by_month(roles.fct_payroll_movement(_sliced(t)), date_dim(t), roles.country(t), _slicer())
 
 
 @query(
@@ -220,7 +226,7 @@ def net_by_month(t: Tables) -> DataFrame:
     """,
 )
 def net_by_concept(t: Tables) -> DataFrame:
-    return reports.net_by_concept(roles.fct_payroll_movement(t), roles.dim_concept(t), roles.country(t), _slicer())
+    return reports.net_by_concept(roles.fct_payroll_movement(_sliced(t)), roles.dim_concept(t), roles.country(t), _slicer())
 
 
 @query(
@@ -232,7 +238,7 @@ def net_by_concept(t: Tables) -> DataFrame:
     """,
 )
 def settlements_by_reason(t: Tables) -> DataFrame:
-    return reports.settlements_by_reason(roles.fct_settlement(t), roles.country(t), _slicer())
+    return reports.settlements_by_reason(roles.fct_settlement(_sliced(t)), roles.country(t), _slicer())
 
 
 _TYPES = ["SICK_LEAVE", "VACATION", "UNJUSTIFIED"]
@@ -275,10 +281,11 @@ def absence_by_month(t: Tables) -> DataFrame:
     """,
 )
 def kpis(t: Tables) -> DataFrame:
+    part = _sliced(t)
     return reports.kpis(
-        roles.fct_payroll_movement(t),
-        roles.fct_settlement(t),
-        roles.fct_absence_day(t),
+        roles.fct_payroll_movement(part),
+        roles.fct_settlement(part),
+        roles.fct_absence_day(part),
         date_dim(t),
         roles.country(t),
         _slicer(),
@@ -294,8 +301,9 @@ def kpis(t: Tables) -> DataFrame:
 )
 def slicer_filter(t: Tables) -> DataFrame:
     """Movements under two slicers: a country and a contract type."""
-    fact = m.slice_by(roles.fct_payroll_movement(t), roles.country(t), "country_code", "country_code", _slicer())
+    part = _sliced(t)
+    fact = m.slice_by(roles.fct_payroll_movement(part), roles.country(t), "country_code", "country_code", _slicer())
     temporary = F.col("contract_type") == "TEMPORARY"
-    return m.slice_by(fact, roles.dim_employee(t), "employee_sk", "employee_sk", temporary).select(
+    return m.slice_by(fact, roles.dim_employee(part), "employee_sk", "employee_sk", temporary).select(
         "movement_id", "employment_id", money("amount").alias("amount")
     )

@@ -16,7 +16,7 @@ from ..functions.dates import at_second, month_start
 from ..functions.money import money, periods_per_month
 from ..functions.text import normalize_text
 from ..operators.calendar import pay_periods
-from ..operators.skew import hot_keys
+from ..operators.skew import ROWS_PER_TASK, hot_keys
 from ..plans import marts
 from .base import Tables, cte, role
 
@@ -84,7 +84,7 @@ def employee_of(employment: Column) -> Column:
 def employee(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     born = F.date_add(F.lit("1960-01-01").cast("date"), (key * 37 % 12000).cast("int"))
-    return t.customer.where(key % 10 != 9).select(
+    return t.people.where(key % 10 != 9).select(
         key.alias("employee_id"),
         F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
         F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
@@ -195,7 +195,7 @@ def period_no(country_no: Column, day: Column, half: Column) -> Column:
 def order_span(t: Tables) -> tuple[Column, Column]:
     """First and last order date as scalar subqueries."""
     day = F.col("o_orderdate").cast("date")
-    span = t.orders.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("span")).scalar()
+    span = t.dated_orders.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("span")).scalar()
     return span["lo"], span["hi"]
 
 
@@ -303,16 +303,12 @@ def line_movement(t: Tables) -> DataFrame:
 
 @role
 def busy_employments(t: Tables) -> DataFrame:
-    """Customers with more order lines than one task should take.
+    """Customers with more order lines than one task should take, judged by their orders at four lines each.
 
-    The lines are counted per order first, so only one row per order meets the orders.
+    The lines themselves are then read and shuffled once, for the fact.
     """
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("_lines"))
-    return hot_keys(
-        lines.join(t.orders.select("o_orderkey", F.col("o_custkey").alias("employment_id")), "o_orderkey"),
-        "employment_id",
-        weight="_lines",
-    )
+    placed = t.orders.select(F.col("o_custkey").alias("employment_id"))
+    return hot_keys(placed, "employment_id", rows_per_task=ROWS_PER_TASK // 4)
 
 
 def line_id() -> Column:

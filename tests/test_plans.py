@@ -64,3 +64,26 @@ def test_movements_are_shuffled_once_for_their_versions(spark):
 def test_flagship(spark):
     df = entry.entry(spark)
     assert df.count() == 6000 and df.columns[0] == "movement_id"
+
+
+def test_slicers_come_before_the_windows(spark):
+    """The orders meet the slicer's customers before anything else; lines are scanned once per fact."""
+    for name in ("report_kpis", "report_net_by_month", "report_net_by_concept", "slicer_filter"):
+        plan = catalogue.run(name, spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        lines = plan.splitlines()
+        for at in [i for i, line in enumerate(lines) if line.lstrip(" :+-").startswith("Window")]:
+            depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+            below = []
+            for line in lines[at + 1 :]:
+                if len(line) - len(line.lstrip(" :+-")) <= depth:
+                    break
+                below.append(line)
+            assert any("LeftSemi" in line for line in below), name
+    plan = plan_of(catalogue.run("fct_payroll_movement", spark, SMALL))
+    assert plan.count("lineitem.parquet") == 1
+
+
+def test_additive_measures_do_not_expand_the_fact(spark):
+    for name in ("m_earnings", "m_deductions", "m_settlements", "m_paid_indemnity"):
+        above, below = plan_of(catalogue.run(name, spark, SMALL)).split("Expand", 1)
+        assert "lineitem.parquet" not in above and below.count("HashAggregate(keys=[country_code") >= 2
