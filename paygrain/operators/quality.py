@@ -82,17 +82,43 @@ class Check:
     severity: str = "error"
 
 
+@dataclass(frozen=True)
+class RowCheck:
+    """A named check of single rows: those of ``rows`` for which ``broken`` is true offend."""
+
+    name: str
+    rows: DataFrame
+    broken: Column
+    severity: str = "error"
+
+
 class QualityError(RuntimeError):
     """A check with severity ``error`` found offending rows."""
 
 
-def quality_report(checks: Sequence[Check]) -> DataFrame:
-    """One row per check with the number of offending rows."""
-    rows = [
+def _counted(checks: Sequence[RowCheck]) -> DataFrame:
+    """Row checks of one table, counted in one pass over the columns they name."""
+    counts = checks[0].rows.agg(*[F.count(F.when(c.broken, 1)).alias(f"_{i}") for i, c in enumerate(checks)])
+    found = [
+        F.struct(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), F.col(f"_{i}").alias("violations"))
+        for i, c in enumerate(checks)
+    ]
+    return counts.select(F.inline(F.array(*found)))
+
+
+def quality_report(checks: Sequence[Check | RowCheck]) -> DataFrame:
+    """One row per check with the number of offending rows. Row checks of the same frame share one scan."""
+    per_table: dict[int, list[RowCheck]] = {}
+    for c in checks:
+        if isinstance(c, RowCheck):
+            per_table.setdefault(id(c.rows), []).append(c)
+    rows = [_counted(own) for own in per_table.values()]
+    rows += [
         c.offending.agg(F.count(F.lit(1)).alias("violations")).select(
             F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "violations"
         )
         for c in checks
+        if isinstance(c, Check)
     ]
     return reduce(DataFrame.unionByName, rows)
 

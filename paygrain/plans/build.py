@@ -163,18 +163,18 @@ def read_marts(spark: SparkSession, layout: Layout) -> Mapping[str, DataFrame]:
     return loaded
 
 
-def declared_checks(s: Mapping[str, DataFrame], m: Mapping[str, DataFrame], snapshot: DataFrame) -> Sequence[q.Check]:
-    """Every check of staging, marts and snapshot."""
-    found: list[q.Check] = []
+def declared_checks(s: Mapping[str, DataFrame], m: Mapping[str, DataFrame], snapshot: DataFrame) -> Sequence[q.Check | q.RowCheck]:
+    """Every check of staging, marts and snapshot. Those of single rows make one aggregate per table."""
+    found: list[q.Check | q.RowCheck] = []
 
     def key(layer: str, df: DataFrame, column: str, where=None) -> None:
         found.append(q.Check(f"{layer}_{column}_unique", q.duplicate_keys(df, [column], where)))
 
     def present(layer: str, df: DataFrame, column: str, severity: str = "error") -> None:
-        found.append(q.Check(f"{layer}_{column}_not_null", q.not_null_violations(df, column), severity))
+        found.append(q.RowCheck(f"{layer}_{column}_not_null", df, F.col(column).isNull(), severity))
 
     def coded(layer: str, df: DataFrame, column: str, values: list[str], severity: str = "error") -> None:
-        found.append(q.Check(f"{layer}_{column}_accepted", q.accepted_values(df, column, values), severity))
+        found.append(q.RowCheck(f"{layer}_{column}_accepted", df, ~F.col(column).isin(*values), severity))
 
     def refers(layer: str, df: DataFrame, column: str, parent: DataFrame, parent_key: str) -> None:
         found.append(q.Check(f"{layer}_{column}_exists", q.fk_violations(df, column, parent, parent_key)))

@@ -346,3 +346,15 @@ def test_reports_keep_what_is_not_listed(spark):
     people = spark.createDataFrame([("s", "d")], "employee_sk string, department_name string")
     total = reports.absence_matrix(away, dates_, people, ["VACATION"]).where("is_total = 1").first()
     assert (total.vacation, total.other, total.total) == (1, 1, 2)
+
+
+def test_row_checks_of_a_table_share_one_scan(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "id int, v string")
+    checks = [
+        quality.RowCheck("id", df, F.col("id").isNull()),
+        quality.RowCheck("v", df, ~F.col("v").isin("a"), "warn"),
+        quality.Check("twice", quality.duplicate_keys(df, ["id"])),
+    ]
+    report = quality.quality_report(checks)
+    assert rows(report) == [("id", "error", 1), ("twice", "error", 0), ("v", "warn", 1)]
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
