@@ -26,7 +26,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 #: Share of good documents of a stratum that all rules together may reject, and the probability of exceeding it.
-RISK, CONFIDENCE = 0.05, 0.05
+RISK, CONFIDENCE = 0.02, 0.05
 
 
 @dataclass(frozen=True)
