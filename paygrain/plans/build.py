@@ -7,7 +7,7 @@ step can be repeated: it then leaves the same tables.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +37,9 @@ ABSENCE_STATUSES = ["APPROVED", "CANCELLED"]
 MOVEMENTS = "payroll_movement"
 
 
+ExtraChecks = Callable[[Mapping[str, DataFrame]], Sequence[q.Check | q.RowCheck]]
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where a warehouse keeps its layers."""
@@ -240,21 +243,26 @@ def declared_checks(s: Mapping[str, DataFrame], m: Mapping[str, DataFrame], snap
     return found
 
 
-def transform(spark: SparkSession, layout: Layout, run_id: str, full: bool = False) -> list:
-    """Staging, marts and snapshot from what bronze holds, then all checks."""
+def transform(spark: SparkSession, layout: Layout, run_id: str, full: bool = False, extra: ExtraChecks | None = None) -> list:
+    """Staging, marts and snapshot from what bronze holds, then all checks.
+
+    ``extra`` makes further checks from the staged relations, such as ``checks.source_checks``.
+    """
     staged = staged_relations(spark, layout)
     build_marts(spark, layout, staged, full)
     write_snapshot_run(staged["employment"], layout.snapshot, "employment_id", "updated_at", run_id)
-    report = q.quality_report(
-        declared_checks(staged, read_marts(spark, layout), read_snapshot(spark, layout.snapshot))
-    )
+    declared = declared_checks(staged, read_marts(spark, layout), read_snapshot(spark, layout.snapshot))
+    report = q.quality_report([*declared, *(extra(staged) if extra else [])])
     return q.enforce(report)
 
 
-def run(spark: SparkSession, read: bronze.Reader, root: str, mode: str = "incremental", table: str | None = None) -> DataFrame:
+def run(
+    spark: SparkSession, read: bronze.Reader, root: str, mode: str = "incremental", table: str | None = None,
+    extra: ExtraChecks | None = None,
+) -> DataFrame:
     """Everything in order; returns the export's report."""
     layout, load_id = Layout(root), bronze.new_load_id()
     store = WatermarkStore(spark, layout.state)
     bronze.run_extract(spark, read, layout.bronze, store, mode, table, load_id=load_id)
-    transform(spark, layout, load_id, full=mode == "full")
+    transform(spark, layout, load_id, full=mode == "full", extra=extra)
     return export_for_bi(spark, read_marts(spark, layout), layout.serving)

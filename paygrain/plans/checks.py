@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import money
+from ..functions.dates import completed_years
+from ..functions.money import money, periods_per_month
 from ..operators import quality as q
 from ..operators.intervals import interval_overlap_join
 from ..operators.rules import DRAFT_WINDOW_DAYS, MAX_PAYMENT_DELAY_DAYS
-from ..operators.sequences import latest_per_key
+from ..operators.sequences import latest_per_key, with_previous
 from .marts import BASE_SALARY, INDEMNITY, VACATION_PAY
 
 
@@ -209,3 +212,67 @@ def indemnity_out_of_ratio(
         .withColumn("salary_months", ratio)
         .where(~F.col("salary_months").between(0.999, 12.001))
     )
+
+
+def rehired_too_early(employment: DataFrame) -> DataFrame:
+    """Rehires that start before the employee's previous employment ended."""
+    ordered = with_previous(
+        employment.select("employee_id", "employment_id", "hire_date", "termination_date"),
+        "employee_id",
+        ["hire_date", "employment_id"],
+        {"prev_employment_id": "employment_id", "prev_termination_date": "termination_date"},
+        chunk=F.trunc("hire_date", "month"),
+    )
+    bad = F.col("prev_termination_date").isNull() | (F.col("hire_date") <= F.col("prev_termination_date"))
+    return ordered.where(F.col("prev_employment_id").isNotNull() & bad).drop("termination_date")
+
+
+def age_at_hire_outside(employee: DataFrame, employment: DataFrame, low: int = 18, high: int = 55) -> DataFrame:
+    """People outside an age range at their first hire; without a birth date they are not judged."""
+    first = employment.groupBy("employee_id").agg(F.min("hire_date").alias("hire_date"))
+    aged = (
+        employee.where("birth_date is not null")
+        .join(first, "employee_id")
+        .select("employee_id", "birth_date", "hire_date", completed_years("birth_date", "hire_date").alias("age_at_hire"))
+    )
+    return aged.where(~F.col("age_at_hire").between(low, high))
+
+
+def source_checks(
+    s: Mapping[str, DataFrame],
+    profile: DataFrame,
+    rules: DataFrame,
+    window_end: Column,
+    movements: tuple[int, int] = (4_000_000, 6_000_000),
+    severity: str = "warn",
+) -> Sequence[q.Check]:
+    """The tests of the source data (D-06 to D-20) on the staged relations, for the gate or on their own.
+
+    ``profile`` has country_code, employee_share, salary_min and salary_max; ``rules`` has country_code,
+    concept_code and pay_month; ``window_end`` is the last day the data was made for. Hand the result to
+    ``build.transform`` as ``extra``, or to ``quality_report``.
+    """
+    employment, movement, concept, period = s["employment"], s["payroll_movement"], s["payroll_concept"], s["payroll_period"]
+    settlement, line = s["settlement"], s["settlement_line"]
+    home = s["department"].select("department_id", "country_code")
+    paid_as = s["country"].select("country_code", periods_per_month("pay_frequency").alias("periods_per_month"))
+    placed = employment.join(home, "department_id").join(paid_as, "country_code")
+    found = {
+        "country_share": q.share_deviation(placed, "country_code", "employee_id", profile, "employee_share", 0.02),
+        "rehired_too_early": rehired_too_early(employment),
+        "salary_in_range": outside_range(placed, profile, "country_code", "monthly_salary", "salary_min", "salary_max"),
+        "age_at_hire": age_at_hire_outside(s["employee"], employment),
+        "birth_date_null_share": null_share(s["employee"], "birth_date", 0.0, 0.02),
+        "audit_coherence": audit_incoherent(employment),
+        "base_pay_once": base_pay_not_once(placed, period, movement, concept),
+        "movement_outside_employment": movement_outside_employment(movement, placed, period),
+        "pay_month": out_of_month(movement, concept, period, rules),
+        "salary_reconstructible": salary_not_reconstructible(placed, movement, concept, period),
+        "movement_volume": volume_outside(movement, *movements),
+        "settlement_once": settlements_not_once(employment, settlement),
+        "settlement_delay": settlement_delayed(settlement, employment),
+        "settlement_composition": settlement_miscomposed(settlement, employment, line, concept),
+        "settlement_status": status_incoherent(settlement, employment, window_end),
+        "indemnity_ratio": indemnity_out_of_ratio(settlement, line, concept, employment),
+    }
+    return [q.Check(f"source_{name}", offending, severity) for name, offending in found.items()]

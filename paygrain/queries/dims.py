@@ -10,7 +10,7 @@ from ..functions.keys import surrogate_key
 from ..functions.money import money, sign_of, signed
 from ..functions.text import normalize_text
 from ..operators import calendar, intervals, sequences
-from ..plans import marts
+from ..plans import checks, marts
 from . import roles
 from .base import Tables, query
 
@@ -255,15 +255,7 @@ def last_per_group(t: Tables) -> DataFrame:
 )
 def lag_check(t: Tables) -> DataFrame:
     """Rehires that start before the employee's previous employment ended."""
-    ordered = sequences.with_previous(
-        roles.employment(t).select("employee_id", "employment_id", "hire_date", "termination_date"),
-        "employee_id",
-        ["hire_date", "employment_id"],
-        {"prev_employment_id": "employment_id", "prev_termination_date": "termination_date"},
-        chunk=F.trunc("hire_date", "month"),
-    )
-    bad = F.col("prev_termination_date").isNull() | (F.col("hire_date") <= F.col("prev_termination_date"))
-    return ordered.where(F.col("prev_employment_id").isNotNull() & bad).drop("termination_date")
+    return checks.rehired_too_early(roles.employment(t))
 
 
 @query(

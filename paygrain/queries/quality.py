@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import completed_years
 from ..functions.money import money, periods_per_month
 from ..operators import quality as q
 from ..plans import checks
@@ -142,14 +141,7 @@ def range_check(t: Tables) -> DataFrame:
 )
 def age_at_hire(t: Tables) -> DataFrame:
     """People outside 18 to 55 at their first hire."""
-    first = roles.employment(t).groupBy("employee_id").agg(F.min("hire_date").alias("hire_date"))
-    aged = (
-        roles.employee(t)
-        .where("birth_date is not null")
-        .join(first, "employee_id")
-        .select("employee_id", "birth_date", "hire_date", completed_years("birth_date", "hire_date").alias("age_at_hire"))
-    )
-    return aged.where(~F.col("age_at_hire").between(18, 55))
+    return checks.age_at_hire_outside(roles.employee(t), roles.employment(t))
 
 
 @query(

@@ -9,13 +9,13 @@ from conftest import rows
 from payroll_fixture import D, Source, money
 from pyspark.sql import functions as F
 
-from paygrain.operators.quality import QualityError
-from paygrain.plans import build
+from paygrain.operators.quality import QualityError, quality_report
+from paygrain.plans import build, checks
 from paygrain.sinks.export import export_for_bi
 from paygrain.sinks import tables
 from paygrain.sinks.tables import read_snapshot
 from paygrain.sources import bronze
-from paygrain.sources.contracts import contract_for
+from paygrain.sources.contracts import CONTRACTS, contract_for
 from paygrain.sources.staging import register_views, stage_all
 from paygrain.sources.watermarks import WatermarkStore
 
@@ -110,6 +110,24 @@ def test_all_checks_reported(warehouse):
     assert report["stg_employment_contract_type_not_null"].outcome == "warn"
 
 
+def test_source_checks(spark, warehouse):
+    """The hand-made payroll by the rules of the source data, worked out by hand."""
+    layout, _, _, _ = warehouse
+    staged = {c.folder: spark.read.parquet(layout.staging(c.folder)) for c in CONTRACTS}
+    profile = spark.createDataFrame(
+        [("MX", 0.33, 900, 1200), ("UY", 0.67, 950, 1200)], "country_code string, employee_share double, salary_min int, salary_max int"
+    )
+    rules = spark.createDataFrame([("UY", "P001", 1), ("UY", "P001", 2)], "country_code string, concept_code string, pay_month int")
+    found = checks.source_checks(staged, profile, rules, F.lit("2024-12-31").cast("date"), movements=(5, 20))
+    got = {r.check_name.removeprefix("source_"): r.violations for r in quality_report(found).collect()}
+    assert len(got) == 16 and {r.severity for r in quality_report(found).collect()} == {"warn"}
+    # Employment 3 earns 900 of at least 950; one of three birth dates is unknown; March and April are no pay
+    # months; employment 3 was terminated on another day than its row changed.
+    assert {n: v for n, v in got.items() if v} == {
+        "salary_in_range": 1, "birth_date_null_share": 1, "pay_month": 2, "audit_coherence": 1, "base_pay_once": 4,
+    }
+
+
 def test_later_runs(spark, warehouse):
     """A correction, a late arrival and a new column value; then nothing new."""
     layout, source, store, _ = warehouse
