@@ -24,8 +24,9 @@ WINDOW = 8
 MIN_LITERALS = 4
 #: A document is contaminated by an item if this share of the item's windows match, or this many of them.
 MIN_SHARE, MIN_WINDOWS = 0.5, 8
-#: Benchmark windows up to this number are broadcast (16 bytes each); more are joined by shuffling both sides.
-BROADCAST_WINDOWS = 2_000_000
+#: Benchmark windows up to this number are broadcast (at most some 150 bytes each, with slot words); more are
+#: joined by shuffling both sides.
+BROADCAST_WINDOWS = 250_000
 
 #: Units that become placeholders after a number (fixed values).
 UNITS = (
