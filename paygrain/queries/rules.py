@@ -155,37 +155,43 @@ cte(
 )
 query("employment_periods", "SELECT * FROM r_emp_period")(employment_periods)
 
-# rule number, concept, type, method, scope, probability, value from, value to, pay month, salary from, salary to
+# rule number, concept, type, method, scope, probability, value from, value to, pay month, salary from, salary to,
+# and the countries it holds in: those whose number leaves the second figure when divided by the first
 _RULES = [
-    (1, "P001", "EARNING", "SALARY", "PERIOD", "1", "1", "1", "NULL", "NULL", "NULL"),
-    (2, "P002", "EARNING", "PCT_SALARY", "PERIOD", "0.2", "0.05", "0.15", "NULL", "NULL", "NULL"),
-    (3, "P003", "EARNING", "FIXED", "EMPLOYMENT", "0.35", "150", "450", "NULL", "NULL", "NULL"),
-    (4, "P002", "EARNING", "PCT_SALARY", "PERIOD", "1", "0.5", "0.5", "12", "NULL", "NULL"),
-    (5, "P003", "EARNING", "FIXED", "PERIOD", "0.7", "100", "100", "NULL", "NULL", "1300"),
-    (6, "D002", "DEDUCTION", "PCT_SALARY", "PERIOD", "1", "0.09", "0.09", "NULL", "NULL", "NULL"),
-    (7, "D001", "DEDUCTION", "PCT_EARNINGS", "PERIOD", "0.9", "0.1", "0.12", "NULL", "1250", "NULL"),
+    (1, "P001", "EARNING", "SALARY", "PERIOD", "1", "1", "1", "NULL", "NULL", "NULL", 1, 0),
+    (2, "P002", "EARNING", "PCT_SALARY", "PERIOD", "0.2", "0.05", "0.15", "NULL", "NULL", "NULL", 2, 0),
+    (3, "P003", "EARNING", "FIXED", "EMPLOYMENT", "0.35", "150", "450", "NULL", "NULL", "NULL", 1, 0),
+    (4, "P002", "EARNING", "PCT_SALARY", "PERIOD", "1", "0.5", "0.5", "12", "NULL", "NULL", 1, 0),
+    (5, "P003", "EARNING", "FIXED", "PERIOD", "0.7", "100", "100", "NULL", "NULL", "1300", 3, 0),
+    (6, "D002", "DEDUCTION", "PCT_SALARY", "PERIOD", "1", "0.09", "0.09", "NULL", "NULL", "NULL", 1, 0),
+    (7, "D001", "DEDUCTION", "PCT_EARNINGS", "PERIOD", "0.9", "0.1", "0.12", "NULL", "1250", "NULL", 1, 0),
+    (8, "P002", "EARNING", "PCT_SALARY", "PERIOD", "1", "0.5", "0.5", "6", "NULL", "NULL", 2, 1),
+    (9, "P003", "EARNING", "PCT_SALARY", "EMPLOYMENT", "0.6", "0.01", "0.04", "NULL", "1100", "1400", 3, 1),
 ]
+_FIELDS = "no, concept_code, concept_type, method, scope, probability, lo, hi, pay_month, salary_from, salary_to, every, rest"
 
 
 @role
 def pay_rules(t: Tables) -> DataFrame:
-    """The same seven rules for every country."""
+    """The rules of each country; some hold everywhere, others in every second or third country."""
     entries = F.array(
         *[
             F.expr(
                 f"named_struct('no', {no}, 'concept_code', '{code}', 'concept_type', '{kind}', 'method', '{method}', "
                 f"'scope', '{scope}', 'probability', cast({p} as double), 'min_value', cast({lo} as decimal(18,4)), "
                 f"'max_value', cast({hi} as decimal(18,4)), 'pay_month', cast({month} as int), "
-                f"'salary_from', cast({above} as decimal(18,2)), 'salary_to', cast({below} as decimal(18,2)))"
+                f"'salary_from', cast({above} as decimal(18,2)), 'salary_to', cast({below} as decimal(18,2)), "
+                f"'every', {every}, 'rest', {rest})"
             )
-            for no, code, kind, method, scope, p, lo, hi, month, above, below in _RULES
+            for no, code, kind, method, scope, p, lo, hi, month, above, below, every, rest in _RULES
         ]
     )
     return (
         roles.country(t)
         .select("country_code", "country_no", F.explode(entries).alias("r"))
+        .where("country_no % r.every = r.rest")
         .select("country_code", (F.col("country_no") * 10 + F.col("r.no")).alias("rule_id"), "r.*")
-        .drop("no")
+        .drop("no", "every", "rest")
     )
 
 
@@ -195,9 +201,10 @@ cte(
     SELECT country_code, country_no * 10 + no AS rule_id, concept_code, concept_type, method, scope, CAST(probability AS DOUBLE) AS probability,
            CAST(lo AS DECIMAL(18,4)) AS min_value, CAST(hi AS DECIMAL(18,4)) AS max_value, pay_month, salary_from, salary_to
     FROM r_country CROSS JOIN (VALUES {', '.join(
-        f"({no}, '{code}', '{kind}', '{method}', '{scope}', {p}, {lo}, {hi}, {month}, {above}, {below})"
-        for no, code, kind, method, scope, p, lo, hi, month, above, below in _RULES)})
-      AS v(no, concept_code, concept_type, method, scope, probability, lo, hi, pay_month, salary_from, salary_to)
+        f"({no}, '{code}', '{kind}', '{method}', '{scope}', {p}, {lo}, {hi}, {month}, {above}, {below}, {every}, {rest})"
+        for no, code, kind, method, scope, p, lo, hi, month, above, below, every, rest in _RULES)})
+      AS v({_FIELDS})
+    WHERE country_no % every = rest
     """,
 )
 _OWN, _EACH = ("employment_id", "rule_id"), ("employment_id", "period_id", "rule_id")
