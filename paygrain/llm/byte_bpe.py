@@ -26,7 +26,7 @@ from .merges import Merger, merger_of_ranks, read_ranks
 #: The pre-token pattern of the rank files that is understood here; others are refused.
 PATTERN = public_tokenizers.PATTERN
 #: Pieces a worker remembers, twice over (recent ones and older ones). Results do not depend on it.
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 400_000, 40
 
 
 @dataclass(frozen=True)
@@ -74,6 +74,7 @@ class Memory(dict):
             value = self.make(key)
         if len(key) <= LONGEST_REMEMBERED:
             if len(self) >= self.size:
+                self.older = {}  # before the copy, to hold two generations at most
                 self.older = dict(self)
                 self.clear()
             self[key] = value

@@ -55,7 +55,7 @@ def strings(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def sliced(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts are at most ``max_bytes`` together, or one row if it is longer."""
     for batch in batches:
         start, held = 0, 0
