@@ -5,7 +5,8 @@ become typed placeholders, everything else its lower-case letters. Windows of ei
 hashed; the hashes of all documents meet those of the benchmark in a hash join. Matching windows of one
 document and one item line up on a diagonal. A question with other numbers or names matches as well as a
 copy does; whether its slots are filled consistently decides: on a diagonal, each value of the item must
-stand for one value of the document, and each value of the document for one of the item.
+stand for one value of the document, and each value of the document for one of the item. Windows without slots
+count whatever the slots of their diagonal hold. Units are compared without regard to number and spelling.
 
 All of it is DataFrame operations; nothing runs in Python.
 """
@@ -36,6 +37,14 @@ UNITS = (
     " percent degree degrees kmh mph hz khz mhz ghz kb mb gb tb w kw v a j kj cal kcal"
 ).split()
 
+#: What stands for one unit, whatever its number or spelling.
+_SAME_UNITS = (
+    "m meter meters metre metres; km; g gram grams; kg kilogram kilograms; lb lbs pound pounds; l liter liters litre litres;"
+    " s sec second seconds; min minute minutes; h hr hrs hour hours; day days; week weeks; month months; year years;"
+    " mi mile miles; ft foot feet; in inch inches; dollar dollars; euro euros; cent cents; degree degrees"
+)
+_CANONICAL = {word: same.split()[0] for same in _SAME_UNITS.split(";") for word in same.split()}
+
 # Marks put before a word that fills a slot; control characters are taken out of texts first.
 _NAME, _UNIT = "\x01", "\x02"
 NAME, UNIT, NUMBER = -1, -2, -3
@@ -65,6 +74,12 @@ def _is_slot(word: str) -> str:
     return f"(ascii({word}) IN (1, 2) OR ascii({word}) BETWEEN 48 AND 57)"
 
 
+def _value(word: Column) -> Column:
+    """What fills a slot, as it is compared: units in one form each."""
+    forms = F.create_map(*[F.lit(x) for word_form in _CANONICAL.items() for x in (_UNIT + word_form[0], _UNIT + word_form[1])])
+    return F.coalesce(F.try_element_at(forms, word), word)
+
+
 def _windows(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     """``keys``, all words, position and hash of every template window; the hash of eight is made by doubling.
 
@@ -117,7 +132,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, keys: Sequence[str] = (
     line = [*keys, "item_id", "shift"]
     pairs = matches.where("own IS NOT NULL").select(*line, "item_pos", F.posexplode(F.arrays_zip("own", "item_words")).alias("i", "p"))
     pairs = pairs.where(_is_slot("p.own")).select(
-        *line, (F.col("item_pos") + F.col("i")).alias("place"), F.col("p.own").alias("value"), F.col("p.item_words").alias("item_value")
+        *line, (F.col("item_pos") + F.col("i")).alias("place"), _value(F.col("p.own")).alias("value"), _value(F.col("p.item_words")).alias("item_value")
     )
     # A mark or digit in front tells the kinds apart, numbers by their first digit.
     filled = pairs.groupBy(*line).agg(
@@ -127,12 +142,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, keys: Sequence[str] = (
         F.count_distinct("place").alias("n_slots"),
         F.count_distinct(F.when(F.col("item_value") != F.col("value"), F.col("place"))).alias("n_changed"),
     )
-    lines = matches.groupBy(*line).agg(F.collect_set("item_pos").alias("hit")).join(filled, line, "left")
-    good = lines.where("both IS NULL OR (both = lefts AND both = rights)")
+    lines = matches.groupBy(*line).agg(
+        F.collect_set("item_pos").alias("hit"), F.collect_set(F.when(F.col("item_words").isNull(), F.col("item_pos"))).alias("free")
+    )
+    good = lines.join(filled, line, "left").withColumn("good", F.expr("both IS NULL OR (both = lefts AND both = rights)"))
     found = good.groupBy(*keys, "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("long").alias("n_windows"),
-        F.coalesce(F.sum("n_slots"), F.lit(0)).alias("n_slots"),
-        F.coalesce(F.sum("n_changed"), F.lit(0)).alias("n_changed"),
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("good"), F.col("hit")).otherwise(F.col("free")))))).cast("long").alias("n_windows"),
+        F.coalesce(F.sum(F.when(F.col("good"), F.col("n_slots"))), F.lit(0)).alias("n_slots"),
+        F.coalesce(F.sum(F.when(F.col("good"), F.col("n_changed"))), F.lit(0)).alias("n_changed"),
     )
     share = found.join(sizes, "item_id").withColumn("share", F.col("n_windows") / F.col("n_item"))
     leaks = share.where((F.col("share") >= MIN_SHARE) | (F.col("n_windows") >= MIN_WINDOWS))

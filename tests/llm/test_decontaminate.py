@@ -54,6 +54,21 @@ def test_each_number_must_stand_for_one_number(spark, benchmark):
     assert not leaks(spark, benchmark, merged)
 
 
+def test_windows_without_slots_count_on_an_inconsistent_diagonal(spark):
+    prose = "the old mill stands by the river and nobody remembers who built it or why the wheel stopped turning one day"
+    passage = f"He paid 12 coins at the gate. {prose}. He paid 12 coins again"
+    items = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    assert set(leaks(spark, items, passage.replace("12", "15", 1))) == {(0, 1)}
+
+
+def test_units_are_compared_in_one_form(spark):
+    question = "a walk of 1 hour to the lake and then 3 hours back over the hill is long"
+    items = spark.createDataFrame([(1, question)], "item_id bigint, text string")
+    other = question.replace("3 hours", "4 hours").replace("1 hour ", "2 hours ")
+    mixed = question.replace("3 hours", "4 miles").replace("1 hour ", "2 days ")
+    assert set(leaks(spark, items, other, mixed)) == {(0, 1)}
+
+
 def test_passage_in_the_middle_of_a_long_text(spark, benchmark):
     assert set(leaks(spark, benchmark, f"{'word filler ' * 3000}. {ITEMS[1][1]}")) == {(0, 2)}
 
