@@ -1,12 +1,14 @@
 """Benchmark decontamination by templates, slots included.
 
-Texts are brought to a template: names (capitalised inside a sentence), numbers and units (after a number)
-become typed placeholders, everything else its lower-case letters. Windows of eight template words are
-hashed; the hashes of all documents meet those of the benchmark in a hash join. Matching windows of one
-document and one item line up on a diagonal. A question with other numbers or names matches as well as a
-copy does; whether its slots are filled consistently decides: on a diagonal, each value of the item must
-stand for one value of the document, and each value of the document for one of the item. Windows without slots
-count whatever the slots of their diagonal hold. Units are compared without regard to number and spelling.
+Texts are cut into words. Names (capitalised inside a sentence), numbers and units (after a number) are slots.
+Windows of eight words are hashed in three ways: plain (lower-case words as they are), strict (slots become typed
+placeholders) and loose (words capitalised at the start of a sentence or line are placeholders too). The hashes of
+all documents meet those of the benchmark in a hash join. Matching windows of one document and one item line up on
+a diagonal. A question with other numbers or names matches as well as a copy does; whether its slots are filled
+consistently decides: on a diagonal, each value of the item must stand for one value of the document, and each
+value of the document for one of the item; strict and loose windows are judged apart. Windows without slots count
+whatever the slots of their diagonal hold, plain windows with slots unless the strict ones are inconsistent. Units
+are compared without regard to number and spelling.
 
 All of it is DataFrame operations; nothing runs in Python.
 """
@@ -25,8 +27,8 @@ WINDOW = 8
 MIN_LITERALS = 4
 #: A document is contaminated by an item if this share of the item's windows match, or this many of them.
 MIN_SHARE, MIN_WINDOWS = 0.5, 8
-#: Benchmark windows up to this number are broadcast (at most some 150 bytes each, with slot words); more are
-#: joined by shuffling both sides.
+#: Benchmark windows up to this number are broadcast (at most some 150 bytes each, with slot words; a window
+#: has up to three hashes, each counts); more are joined by shuffling both sides.
 BROADCAST_WINDOWS = 250_000
 
 #: Units that become placeholders after a number (fixed values).
@@ -46,22 +48,28 @@ _SAME_UNITS = (
 _CANONICAL = {word: same.split()[0] for same in _SAME_UNITS.split(";") for word in same.split()}
 
 # Marks put before a word that fills a slot; control characters are taken out of texts first.
-_NAME, _UNIT = "\x01", "\x02"
+_NAME, _UNIT, _FIRST = "\x01", "\x02", "\x03"
 NAME, UNIT, NUMBER = -1, -2, -3
+# The ways a window of a document is hashed, in the order of the arrays of hashes.
+_STRICT, _LOOSE, _PLAIN = 0, 1, 2
 
 
 def template(text: Column) -> Column:
-    """The text's words, slot words marked: a name with \\x01, a unit with \\x02, a number by its first digit.
+    """The text's words, slot words marked: a name with \\x01, a unit with \\x02, a number by its first digit. Other
+    capitalised words, which may be names at the start of a sentence, are marked with \\x03.
 
     Words are runs of letters and digits; points and commas inside a number belong to it. The patterns start
     with what is rare, so that most places of a text are passed at once.
     """
-    plain = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit(_NAME), F.lit("")), F.lit(_UNIT), F.lit(""))
+    plain = F.coalesce(text, F.lit(""))
+    for mark in (_NAME, _UNIT, _FIRST):
+        plain = F.replace(plain, F.lit(mark), F.lit(""))
     names = F.regexp_replace(plain, r"(?=\p{Lu})(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)", _NAME + "$1")
-    whole = F.regexp_replace(names, r"([0-9])[.,](?=[0-9])", "$1")
+    first = F.regexp_replace(names, rf"(?=\p{{Lu}})(?<![\p{{L}}\p{{N}}{_NAME}])(\p{{Lu}}\p{{Ll}}+)", _FIRST + "$1")
+    whole = F.regexp_replace(first, r"([0-9])[.,](?=[0-9])", "$1")
     units = F.regexp_replace(whole, rf"([0-9] )({'|'.join(sorted(UNITS, key=len, reverse=True))})(?![\p{{L}}\p{{N}}])", "$1" + _UNIT + "$2")
-    marked = F.when(names.rlike("[0-9]"), units).otherwise(names)
-    return F.array_remove(F.split(F.lower(marked), rf"[^\p{{L}}\p{{N}}{_NAME}{_UNIT}]+"), "")
+    marked = F.when(first.rlike("[0-9]"), units).otherwise(first)
+    return F.array_remove(F.split(F.lower(marked), rf"[^\p{{L}}\p{{N}}{_NAME}{_UNIT}{_FIRST}]+"), "")
 
 
 def _once(df: DataFrame, **columns: str) -> DataFrame:
@@ -70,47 +78,101 @@ def _once(df: DataFrame, **columns: str) -> DataFrame:
     return df.select("*", F.inline(made))
 
 
-def _is_slot(word: str) -> str:
-    return f"(ascii({word}) IN (1, 2) OR ascii({word}) BETWEEN 48 AND 57)"
+def _is_slot(word: str, loose: bool = False) -> str:
+    return f"(ascii({word}) IN ({'1, 2, 3' if loose else '1, 2'}) OR ascii({word}) BETWEEN 48 AND 57)"
 
 
-def _value(word: Column) -> Column:
-    """What fills a slot, as it is compared: units in one form each."""
-    forms = F.create_map(*[F.lit(x) for word_form in _CANONICAL.items() for x in (_UNIT + word_form[0], _UNIT + word_form[1])])
-    return F.coalesce(F.try_element_at(forms, word), word)
+def _bare(word: str) -> str:
+    return f"if(ascii({word}) < 4, substring({word}, 2), {word})"
 
 
-def _windows(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """``keys``, all words, position and hash of every template window; the hash of eight is made by doubling.
+def _value(word: str) -> Column:
+    """What fills a slot, as it is compared: units in one form each, names wherever they stand."""
+    forms = F.create_map(*[F.lit(x) for one in _CANONICAL.items() for x in one])
+    bare, kind = F.expr(_bare(word)), F.ascii(word)
+    unit = F.concat(F.lit(_UNIT), F.coalesce(F.try_element_at(forms, bare), bare))
+    return F.when(kind == 2, unit).when(kind < 4, F.concat(F.lit(_NAME), bare)).otherwise(bare)
 
-    The last step is the bare generator: what is selected of ``words`` behind a broadcast join is then only
-    taken for windows that match.
+
+def _hashes(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """``keys``, the words, and the strict, loose and plain hashes of every window (``s8``, ``l8``, ``p8``).
+
+    A hash of eight is made by doubling. Loose and plain hashes are an empty array where the whole text has the strict ones.
     """
     coded = _once(
         df.select(*keys, template(F.col(text)).alias("words")),
-        h1=f"transform(words, w -> CASE WHEN ascii(w) = 1 THEN {NAME}L WHEN ascii(w) = 2 THEN {UNIT}L"
-        f" WHEN ascii(w) BETWEEN 48 AND 57 THEN {NUMBER}L ELSE xxhash64(w) END)",
+        p1=f"transform(words, w -> xxhash64({_bare('w')}))",
+        slots=f"exists(words, w -> {_is_slot('w')})",
+        firsts="exists(words, w -> ascii(w) = 3)",
     )
+    coded = _once(
+        coded,
+        s1=f"if(slots, zip_with(words, p1, (w, p) -> CASE WHEN ascii(w) = 1 THEN {NAME}L WHEN ascii(w) = 2 THEN {UNIT}L"
+        f" WHEN ascii(w) BETWEEN 48 AND 57 THEN {NUMBER}L ELSE p END), p1)",
+    )
+    coded = _once(
+        coded,
+        l1=f"if(firsts, zip_with(words, s1, (w, s) -> if(ascii(w) = 3, {NAME}L, s)), array())",
+        q1="if(slots, p1, array())",
+    ).drop("p1", "slots", "firsts").withColumnRenamed("q1", "p1")
     pair = "if(size({a}) <= {k}, array(), zip_with(slice({a}, 1, size({a}) - {k}), slice({a}, {k} + 1, size({a}) - {k}), (x, y) -> xxhash64(x, y)))"
-    two = _once(coded, h2=pair.format(a="h1", k=1)).drop("h1")
-    four = _once(two, h4=pair.format(a="h2", k=2)).drop("h2")
-    eight = _once(four, h8=pair.format(a="h4", k=4)).drop("h4")
-    return eight.select(*keys, "words", F.posexplode("h8").alias("pos", "hash"))
+    for n in (1, 2, 4):
+        coded = _once(coded, **{f"{x}{2 * n}": pair.format(a=f"{x}{n}", k=n) for x in "slp"}).drop(f"s{n}", f"l{n}", f"p{n}")
+    return coded
+
+
+def _windows(docs: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    """``keys``, all words, kind, position and hash of every window of a document; a loose or plain hash is null where
+    it is the strict one.
+
+    The last step is the bare generator: what is selected of ``words`` behind a broadcast join is then only
+    taken for windows that match.
+    """
+    differ = "if(size({a}) = 0, array(), zip_with({a}, s8, (x, s) -> nullif(x, s)))"
+    parts = _hashes(docs, keys, text).select(*keys, "words", F.array("s8", F.expr(differ.format(a="l8")), F.expr(differ.format(a="p8"))).alias("all"))
+    return parts.select(*keys, "words", F.posexplode("all").alias("kind", "some")).select(*keys, "words", "kind", F.posexplode("some").alias("pos", "hash"))
+
+
+def _item_windows(benchmark: DataFrame) -> DataFrame:
+    """A row for each different hash of each window: item_id, item_pos, hash, ``strict``, ``loose`` and ``plain`` (which
+    ways lead to it), ``free`` (no slot in the window), ``base`` (enough words that are none), words where slots are compared."""
+    full = _hashes(benchmark, ["item_id"], "text").withColumns({x: F.expr(f"if(size({x}) = 0, s8, {x})") for x in ("l8", "p8")})
+    every = full.select("item_id", "words", F.posexplode(F.arrays_zip("s8", "l8", "p8")).alias("item_pos", "w"))
+    own = every.withColumn("own", F.slice("words", F.col("item_pos") + 1, WINDOW))
+    for name, loose in (("n_strict", False), ("n_loose", True)):
+        own = own.withColumn(name, F.expr(f"size(filter(own, w -> {_is_slot('w', loose)}))"))
+    own = own.withColumns({"base": F.expr(f"{WINDOW} - n_strict >= {MIN_LITERALS}"), "lax": F.expr(f"{WINDOW} - n_loose >= {MIN_LITERALS}")})
+    rows = own.where("base").select(
+        "item_id", "item_pos", "own", "n_strict", "n_loose", "base",
+        F.expr(
+            "stack(3, w.s8, base, w.l8 = w.s8 AND lax, w.p8 = w.s8, w.p8 = w.s8,"
+            " w.l8, false, w.l8 <> w.s8 AND lax, false, false,"
+            " w.p8, false, false, w.p8 <> w.s8, false) AS (hash, strict, loose, plain, free)"
+        ),
+    )
+    return rows.where("strict OR loose OR plain").select(
+        "item_id", "item_pos", "hash", "strict", "loose", "plain", "free", "base",
+        F.expr("CASE WHEN strict AND n_strict > 0 OR loose AND n_loose > 0 THEN own END").alias("item_words"),
+    )
 
 
 def _matches(docs: DataFrame, keys: Sequence[str], text: str, items: DataFrame, small: bool) -> DataFrame:
-    """``keys``, item_id, item_pos and shift of every matching window, and both sides' words where it has slots."""
+    """``keys``, item_id, item_pos and shift of every matching window, how it matches, and both sides' words where it has slots."""
     windows, own = _windows(docs, keys, text), F.slice("words", F.col("pos") + 1, WINDOW)
     if small:
         met = windows.join(F.broadcast(items), "hash").withColumn("own", F.when(F.col("item_words").isNotNull(), own))
     else:
-        met = windows.select(*keys, "pos", "hash", own.alias("own")).join(items, "hash")
-    return met.select(*keys, "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "own", "item_words")
+        met = windows.select(*keys, "kind", "pos", "hash", own.alias("own")).join(items, "hash")
+    how = met.withColumns({"strict": F.expr(f"strict AND kind = {_STRICT}"), "loose": F.expr(f"loose AND kind <= {_LOOSE}")})
+    return how.where("strict OR loose OR plain").select(
+        *keys, "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "strict", "loose", "plain", "free", "base", "own", "item_words"
+    )
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, *, keys: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """One row for each document and benchmark item it contains: ``keys``, ``item_id``, ``n_windows`` (matching
-    windows of the item), ``share`` of the item's windows, ``n_slots`` compared and ``n_changed`` of them.
+    windows of the item), ``share`` of the item's windows, ``n_slots`` compared and ``n_changed`` of them (words at the
+    start of a sentence are slots if they changed).
 
     No text is shuffled: the documents' windows stream through the join with the benchmark's (broadcast while their
     counted number is at most ``BROADCAST_WINDOWS``). Only matches are grouped, by document and item. Items of
@@ -119,38 +181,47 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, keys: Sequence[str] = (
     """
     keys = list(keys)
     docs, benchmark = docs.where(F.col(keys[0]).isNotNull()), benchmark.where(F.col("item_id").isNotNull())
-    items = _windows(benchmark, ["item_id"], "text").withColumn("own", F.slice("words", F.col("pos") + 1, WINDOW))
-    slots = F.expr(f"size(filter(own, w -> {_is_slot('w')}))")
-    items = items.where(WINDOW - slots >= MIN_LITERALS).select(
-        "item_id", F.col("pos").alias("item_pos"), "hash", F.when(slots > 0, F.col("own")).alias("item_words")
-    )
-    items, _ = written(items.distinct(), "item-windows")
+    items, _ = written(_item_windows(benchmark).distinct(), "item-windows")
     sizes = items.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_item"))
     matches, _ = written(_matches(docs, keys, text, items, items.count() <= BROADCAST_WINDOWS), "leak-windows")
 
-    # The values that fill the slots of one diagonal, each place once.
+    # The values that fill the slots of one diagonal, each place once, by strict and by loose windows.
     line = [*keys, "item_id", "shift"]
-    pairs = matches.where("own IS NOT NULL").select(*line, "item_pos", F.posexplode(F.arrays_zip("own", "item_words")).alias("i", "p"))
-    pairs = pairs.where(_is_slot("p.own")).select(
-        *line, (F.col("item_pos") + F.col("i")).alias("place"), _value(F.col("p.own")).alias("value"), _value(F.col("p.item_words")).alias("item_value")
-    )
+    ways = F.array_compact(F.array(F.when(F.col("strict"), F.lit(_STRICT)), F.when(F.col("loose"), F.lit(_LOOSE))))
+    pairs = matches.where("own IS NOT NULL").select(*line, "item_pos", F.explode(ways).alias("way"), "own", "item_words")
+    pairs = pairs.select(*line, "item_pos", "way", F.posexplode(F.arrays_zip("own", "item_words")).alias("i", "p"))
+    pairs = pairs.where(F.expr(f"{_is_slot('p.item_words')} OR way = {_LOOSE} AND ascii(p.item_words) = 3")).select(
+        *line, "way", (F.col("item_pos") + F.col("i")).alias("place"), (F.ascii("p.item_words") == 3).alias("first"),
+        _value("p.own").alias("value"), _value("p.item_words").alias("item_value"),
+    )
     # A mark or digit in front tells the kinds apart, numbers by their first digit.
-    filled = pairs.groupBy(*line).agg(
+    changed = F.col("item_value") != F.col("value")
+    filled = pairs.groupBy(*line, "way").agg(
         F.count_distinct("item_value", "value").alias("both"),
         F.count_distinct("item_value").alias("lefts"),
         F.count_distinct("value").alias("rights"),
-        F.count_distinct("place").alias("n_slots"),
-        F.count_distinct(F.when(F.col("item_value") != F.col("value"), F.col("place"))).alias("n_changed"),
+        F.count_distinct(F.when(~F.col("first") | changed, F.col("place"))).alias("n_slots"),
+        F.count_distinct(F.when(changed, F.col("place"))).alias("n_changed"),
+    )
+    filled = filled.withColumn("good", F.expr("both = lefts AND both = rights"))
+    judged = filled.groupBy(*line).agg(
+        F.bool_and(F.when(F.col("way") == _STRICT, F.col("good"))).alias("strict_good"),
+        F.bool_and(F.when(F.col("way") == _LOOSE, F.col("good"))).alias("loose_good"),
+        *[F.max(F.when(F.col("good"), F.col(n))).alias(n) for n in ("n_slots", "n_changed")],
     )
+    place = F.struct("item_pos", "base")
     lines = matches.groupBy(*line).agg(
-        F.collect_set("item_pos").alias("hit"), F.collect_set(F.when(F.col("item_words").isNull(), F.col("item_pos"))).alias("free")
+        F.collect_set(F.when(F.col("free"), place)).alias("hit"),
+        F.collect_set(F.when(F.col("strict") | F.col("plain"), place)).alias("strict_hit"),
+        F.collect_set(F.when(F.col("loose"), place)).alias("loose_hit"),
     )
-    good = lines.join(filled, line, "left").withColumn("good", F.expr("both IS NULL OR (both = lefts AND both = rights)"))
-    found = good.groupBy(*keys, "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("good"), F.col("hit")).otherwise(F.col("free")))))).cast("long").alias("n_windows"),
-        F.coalesce(F.sum(F.when(F.col("good"), F.col("n_slots"))), F.lit(0)).alias("n_slots"),
-        F.coalesce(F.sum(F.when(F.col("good"), F.col("n_changed"))), F.lit(0)).alias("n_changed"),
+    hits = [F.expr("hit"), *[F.expr(f"if(coalesce({x}_good, true), {x}_hit, array())") for x in ("strict", "loose")]]
+    found = lines.join(judged, line, "left").groupBy(*keys, "item_id").agg(
+        F.array_distinct(F.flatten(F.collect_list(F.concat(*hits)))).alias("hit"),
+        F.coalesce(F.sum("n_slots"), F.lit(0)).alias("n_slots"),
+        F.coalesce(F.sum("n_changed"), F.lit(0)).alias("n_changed"),
     )
+    found = found.withColumn("n_windows", F.size("hit").cast("long"))
     share = found.join(sizes, "item_id").withColumn("share", F.col("n_windows") / F.col("n_item"))
     leaks = share.where((F.col("share") >= MIN_SHARE) | (F.col("n_windows") >= MIN_WINDOWS))
     return leaks.select(*keys, "item_id", "n_windows", "share", "n_slots", "n_changed")

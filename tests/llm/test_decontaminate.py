@@ -69,6 +69,24 @@ def test_units_are_compared_in_one_form(spark):
     assert set(leaks(spark, items, other, mixed)) == {(0, 1)}
 
 
+def test_names_at_the_start_of_sentences(spark):
+    question = (
+        "Alice has 12 red apples in her old blue basket. Alice buys some more apples at the small shop."
+        ' "Alice then gives 5 of them to all her friends."'
+    )
+    items = spark.createDataFrame([(1, question)], "item_id bigint, text string")
+    mixed = question.replace("Alice has", "Carla has").replace("Alice buys", "Dora buys").replace("Alice then", "Emma then")
+    found = leaks(spark, items, question.replace("Alice", "Carla"), mixed)
+    assert set(found) == {(0, 1)} and found[0, 1]["share"] > 0.8 and found[0, 1]["n_changed"] == 3
+
+
+def test_copies_whatever_case_and_line_breaks(spark):
+    text = "In the morning Alice met Bob, Carla and Dieter near Paris where Emma sold pears to Frank and old Greta"
+    items = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    copies = [text.lower(), text.upper(), text.title(), text.replace(" ", "\n"), text.replace(" ", "  ")]
+    assert set(leaks(spark, items, *copies)) == {(i, 1) for i in range(len(copies))}
+
+
 def test_passage_in_the_middle_of_a_long_text(spark, benchmark):
     assert set(leaks(spark, benchmark, f"{'word filler ' * 3000}. {ITEMS[1][1]}")) == {(0, 2)}
 
