@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import row_hash, table, written
 
 WINDOW = 8
-#: A benchmark window needs so many words that are no placeholders, or tables of numbers would match each other.
+#: A benchmark window needs so many words that are no placeholders, or tables of numbers would match each other; one
+#: with fewer is compared by its exact words. So is an item of so many words that is too short for a window.
 MIN_LITERALS = 4
 #: A document is contaminated by an item if this share of the item's windows match, or this many of them.
 MIN_SHARE, MIN_WINDOWS = 0.5, 8
@@ -50,7 +51,7 @@ _CANONICAL = {word: same.split()[0] for same in _SAME_UNITS.split(";") for word
 # Marks put before a word that fills a slot; control characters are taken out of texts first.
 _NAME, _UNIT, _FIRST = "\x01", "\x02", "\x03"
 NAME, UNIT, NUMBER = -1, -2, -3
-# The ways a window of a document is hashed, in the order of the arrays of hashes.
+# The ways a window of a document is hashed, in the order of the arrays of hashes; windows of short items' lengths follow.
 _STRICT, _LOOSE, _PLAIN = 0, 1, 2
 
 
@@ -95,54 +96,57 @@ def _value(word: str) -> Column:
 
 
 def _hashes(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
-    """``keys``, the words, and the strict, loose and plain hashes of every window (``s8``, ``l8``, ``p8``).
+    """``keys``, the words, their hashes (``exact``), and the strict, loose and plain hashes of every window (``s8``, ``l8``, ``p8``).
 
     A hash of eight is made by doubling. Loose and plain hashes are an empty array where the whole text has the strict ones.
     """
     coded = _once(
         df.select(*keys, template(F.col(text)).alias("words")),
-        p1=f"transform(words, w -> xxhash64({_bare('w')}))",
+        exact=f"transform(words, w -> xxhash64({_bare('w')}))",
         slots=f"exists(words, w -> {_is_slot('w')})",
         firsts="exists(words, w -> ascii(w) = 3)",
     )
     coded = _once(
         coded,
-        s1=f"if(slots, zip_with(words, p1, (w, p) -> CASE WHEN ascii(w) = 1 THEN {NAME}L WHEN ascii(w) = 2 THEN {UNIT}L"
-        f" WHEN ascii(w) BETWEEN 48 AND 57 THEN {NUMBER}L ELSE p END), p1)",
+        s1=f"if(slots, zip_with(words, exact, (w, p) -> CASE WHEN ascii(w) = 1 THEN {NAME}L WHEN ascii(w) = 2 THEN {UNIT}L"
+        f" WHEN ascii(w) BETWEEN 48 AND 57 THEN {NUMBER}L ELSE p END), exact)",
     )
     coded = _once(
         coded,
         l1=f"if(firsts, zip_with(words, s1, (w, s) -> if(ascii(w) = 3, {NAME}L, s)), array())",
-        q1="if(slots, p1, array())",
-    ).drop("p1", "slots", "firsts").withColumnRenamed("q1", "p1")
+        p1="if(slots, exact, array())",
+    ).drop("slots", "firsts")
     pair = "if(size({a}) <= {k}, array(), zip_with(slice({a}, 1, size({a}) - {k}), slice({a}, {k} + 1, size({a}) - {k}), (x, y) -> xxhash64(x, y)))"
     for n in (1, 2, 4):
         coded = _once(coded, **{f"{x}{2 * n}": pair.format(a=f"{x}{n}", k=n) for x in "slp"}).drop(f"s{n}", f"l{n}", f"p{n}")
     return coded
 
 
-def _windows(docs: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+def _windows(docs: DataFrame, keys: Sequence[str], text: str, lengths: Sequence[int]) -> DataFrame:
     """``keys``, all words, kind, position and hash of every window of a document; a loose or plain hash is null where
-    it is the strict one.
+    it is the strict one. Windows of ``lengths`` words, fewer than eight, are hashed plain.
 
     The last step is the bare generator: what is selected of ``words`` behind a broadcast join is then only
     taken for windows that match.
     """
     differ = "if(size({a}) = 0, array(), zip_with({a}, s8, (x, s) -> nullif(x, s)))"
-    parts = _hashes(docs, keys, text).select(*keys, "words", F.array("s8", F.expr(differ.format(a="l8")), F.expr(differ.format(a="p8"))).alias("all"))
+    short = "if(size(exact) < {n}, array(), transform(sequence(0, size(exact) - {n}), i -> xxhash64(slice(exact, i + 1, {n}))))"
+    every = ["s8", differ.format(a="l8"), differ.format(a="p8"), *[short.format(n=n) for n in lengths]]
+    parts = _hashes(docs, keys, text).select(*keys, "words", F.array(*map(F.expr, every)).alias("all"))
     return parts.select(*keys, "words", F.posexplode("all").alias("kind", "some")).select(*keys, "words", "kind", F.posexplode("some").alias("pos", "hash"))
 
 
 def _item_windows(benchmark: DataFrame) -> DataFrame:
     """A row for each different hash of each window: item_id, item_pos, hash, ``strict``, ``loose`` and ``plain`` (which
-    ways lead to it), ``free`` (no slot in the window), ``base`` (enough words that are none), words where slots are compared."""
-    full = _hashes(benchmark, ["item_id"], "text").withColumns({x: F.expr(f"if(size({x}) = 0, s8, {x})") for x in ("l8", "p8")})
+    ways lead to it), ``free`` (no slot in the window), ``base`` (enough words that are none), words where slots are compared, ``short`` (words of an item that is one window)."""
+    hashed = _hashes(benchmark, ["item_id"], "text")
+    full = hashed.withColumns({x: F.expr(f"if(size({x}) = 0, s8, {x})") for x in ("l8", "p8")})
     every = full.select("item_id", "words", F.posexplode(F.arrays_zip("s8", "l8", "p8")).alias("item_pos", "w"))
     own = every.withColumn("own", F.slice("words", F.col("item_pos") + 1, WINDOW))
     for name, loose in (("n_strict", False), ("n_loose", True)):
         own = own.withColumn(name, F.expr(f"size(filter(own, w -> {_is_slot('w', loose)}))"))
     own = own.withColumns({"base": F.expr(f"{WINDOW} - n_strict >= {MIN_LITERALS}"), "lax": F.expr(f"{WINDOW} - n_loose >= {MIN_LITERALS}")})
-    rows = own.where("base").select(
+    rows = own.select(
         "item_id", "item_pos", "own", "n_strict", "n_loose", "base",
         F.expr(
             "stack(3, w.s8, base, w.l8 = w.s8 AND lax, w.p8 = w.s8, w.p8 = w.s8,"
@@ -150,15 +154,21 @@ def _item_windows(benchmark: DataFrame) -> DataFrame:
             " w.p8, false, false, w.p8 <> w.s8, false) AS (hash, strict, loose, plain, free)"
         ),
     )
-    return rows.where("strict OR loose OR plain").select(
+    long = rows.where("strict OR loose OR plain").select(
         "item_id", "item_pos", "hash", "strict", "loose", "plain", "free", "base",
-        F.expr("CASE WHEN strict AND n_strict > 0 OR loose AND n_loose > 0 THEN own END").alias("item_words"),
+        F.expr("CASE WHEN strict AND n_strict > 0 OR loose AND n_loose > 0 THEN own END").alias("item_words"), F.lit(None).cast("int").alias("short"),
     )
+    whole = hashed.where(F.size("words").between(MIN_LITERALS, WINDOW - 1)).select(
+        "item_id", F.lit(0).alias("item_pos"), F.xxhash64("exact").alias("hash"), F.lit(False).alias("strict"), F.lit(False).alias("loose"),
+        F.lit(True).alias("plain"), F.lit(True).alias("free"), F.lit(False).alias("base"), F.lit(None).cast("array<string>").alias("item_words"),
+        F.size("words").alias("short"),
+    )
+    return long.unionByName(whole)
 
 
-def _matches(docs: DataFrame, keys: Sequence[str], text: str, items: DataFrame, small: bool) -> DataFrame:
+def _matches(docs: DataFrame, keys: Sequence[str], text: str, items: DataFrame, small: bool, lengths: Sequence[int]) -> DataFrame:
     """``keys``, item_id, item_pos and shift of every matching window, how it matches, and both sides' words where it has slots."""
-    windows, own = _windows(docs, keys, text), F.slice("words", F.col("pos") + 1, WINDOW)
+    windows, own = _windows(docs, keys, text, lengths), F.slice("words", F.col("pos") + 1, WINDOW)
     if small:
         met = windows.join(F.broadcast(items), "hash").withColumn("own", F.when(F.col("item_words").isNotNull(), own))
     else:
@@ -175,15 +185,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, keys: Sequence[str] = (
     start of a sentence are slots if they changed).
 
     No text is shuffled: the documents' windows stream through the join with the benchmark's (broadcast while their
-    counted number is at most ``BROADCAST_WINDOWS``). Only matches are grouped, by document and item. Items of
-    fewer than eight words have no window and are not searched for. Null texts and keys match nothing;
-    repeated rows are one document. An empty benchmark or table gives an empty result.
+    counted number is at most ``BROADCAST_WINDOWS``). Only matches are grouped, by document and item. The share is
+    that of all windows, or of those with enough words that are no slots, whichever is greater. Items of four to seven
+    words are one window and searched for as they are; items of fewer words are not searched for. Null texts and keys
+    match nothing; repeated rows are one document. An empty benchmark or table gives an empty result.
     """
     keys = list(keys)
     docs, benchmark = docs.where(F.col(keys[0]).isNotNull()), benchmark.where(F.col("item_id").isNotNull())
     items, _ = written(_item_windows(benchmark).distinct(), "item-windows")
-    sizes = items.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_item"))
-    matches, _ = written(_matches(docs, keys, text, items, items.count() <= BROADCAST_WINDOWS), "leak-windows")
+    sizes = items.groupBy("item_id").agg(
+        F.count_distinct("item_pos").alias("n_item"), F.count_distinct(F.when(F.col("base"), F.col("item_pos"))).alias("n_base")
+    )
+    # At most four numbers.
+    lengths = sorted(n for (n,) in items.where("short IS NOT NULL").select("short").distinct().collect())
+    matches, _ = written(_matches(docs, keys, text, items, items.count() <= BROADCAST_WINDOWS, lengths), "leak-windows")
 
     # The values that fill the slots of one diagonal, each place once, by strict and by loose windows.
     line = [*keys, "item_id", "shift"]
@@ -222,7 +237,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, *, keys: Sequence[str] = (
         F.coalesce(F.sum("n_changed"), F.lit(0)).alias("n_changed"),
     )
     found = found.withColumn("n_windows", F.size("hit").cast("long"))
-    share = found.join(sizes, "item_id").withColumn("share", F.col("n_windows") / F.col("n_item"))
+    of_base = F.expr("size(filter(hit, h -> h.base)) / nullif(n_base, 0)")
+    share = found.join(sizes, "item_id").withColumn("share", F.greatest(F.col("n_windows") / F.col("n_item"), of_base))
     leaks = share.where((F.col("share") >= MIN_SHARE) | (F.col("n_windows") >= MIN_WINDOWS))
     return leaks.select(*keys, "item_id", "n_windows", "share", "n_slots", "n_changed")
 

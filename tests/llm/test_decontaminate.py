@@ -87,6 +87,15 @@ def test_copies_whatever_case_and_line_breaks(spark):
     assert set(leaks(spark, items, *copies)) == {(i, 1) for i in range(len(copies))}
 
 
+def test_copies_of_short_and_slot_heavy_items(spark):
+    texts = ["What is 7 times 8?", "12 34 56 78 90 11 13 17 19 23", "Guests were Anna, Bert, Carla, Dieter, Emma, Frank, Greta, Hugo, Ida and Jonas"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    others = ["What is 7 times 9?", "12 34 56 78 91 11 13 17 19 23", "What is 7 times"]
+    found = leaks(spark, items, *[f"{FILLER} {t} {FILLER}" for t in texts], *others, *[t.upper() for t in texts])
+    assert set(found) == {(0, 0), (1, 1), (2, 2), (6, 0), (7, 1), (8, 2)}
+    assert all(r["share"] == 1 for r in found.values())
+
+
 def test_passage_in_the_middle_of_a_long_text(spark, benchmark):
     assert set(leaks(spark, benchmark, f"{'word filler ' * 3000}. {ITEMS[1][1]}")) == {(0, 2)}
 
