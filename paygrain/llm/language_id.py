@@ -6,7 +6,9 @@ the longest known context either codes the byte or escapes to the next shorter o
 already ruled out no longer count, down to an even choice among the bytes left over. The statistics stay
 as trained while texts are scored, so the code length of a byte depends only on the three bytes before
 it. That lets all trees be laid over one another into a single table: the longest context known to any
-language, times the byte, gives one code length per language.
+language, times the byte, gives one code length per language. That table grows with the square of the number of
+languages; where it would be too large, each language keeps its own contexts and symbols, sparsely, with the
+same code lengths.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from .common import binary, table
 ORDER = 3
 #: At most so many labelled documents of each language are learned from: a sample by a hash of the id.
 TRAIN_DOCS = 1500
-#: Contexts kept of each language, the most frequent first; fewer if the table would outgrow MODEL_BYTES.
+#: Contexts kept of each language, the most frequent first. A model that would outgrow MODEL_BYTES as one table is kept
+#: by language; one that outgrows it even then is an error.
 MAX_CONTEXTS, MODEL_BYTES = 6000, 128 << 20
 UNKNOWN = "und"
 #: A text no language codes in fewer bits than it has is rejected.
@@ -41,12 +44,29 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+@dataclass(frozen=True)
+class Leaf:
+    """One language's tree. Bits of a symbol seen in a context or one of its suffixes are listed; others follow from
+    the empty context: ``lead`` of the context and ``first`` of the symbol, or ``rest`` where it was never seen."""
+
+    contexts: np.ndarray  # codes of the contexts, sorted
+    cells: np.ndarray  # (context, symbol), sorted
+    bits: np.ndarray
+    lead: np.ndarray
+    rest: np.ndarray
+    first: np.ndarray  # infinite for a symbol never seen
+
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.contexts, self.cells, self.bits, self.lead, self.rest, self.first))
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
     symbols: np.ndarray  # byte -> symbol; unseen bytes share the last symbol
     states: np.ndarray  # three symbols -> longest known context
     costs: np.ndarray  # (context, symbol) x language -> bits
+    leaves: list[Leaf] | None = None  # instead of states and costs, one per language
 
 
 # --- training ---------------------------------------------------------------------------------
@@ -157,6 +177,58 @@ def code_lengths(chain: list[np.ndarray], left_over: int) -> np.ndarray:
     return bits
 
 
+def _code(context: tuple[int, ...], size: int) -> int:
+    """A number for a context of any length: its symbols, plus one, as digits."""
+    out = 0
+    for x in context:
+        out = out * (size + 1) + x + 1
+    return out
+
+
+def _leaf(tree: dict[tuple[int, ...], np.ndarray], size: int, left_over: int) -> Leaf:
+    contexts = sorted(tree, key=lambda c: _code(c, size))
+    with np.errstate(divide="ignore"):
+        first = -np.log2(tree[()]).astype(np.float32)
+    cells, bits, lead, rest = [], [], np.zeros(len(contexts), np.float32), np.zeros(len(contexts), np.float32)
+    for i, c in enumerate(contexts):
+        chain = [tree[c[k:]] for k in range(len(c) + 1)]
+        own = code_lengths(chain, left_over)
+        listed = np.any([x > 0 for x in chain[:-1]], axis=0) if c else np.zeros(size, bool)
+        cells.append(i * size + np.flatnonzero(listed))
+        bits.append(own[listed].astype(np.float32))
+        plain = np.flatnonzero(~listed & np.isfinite(first))
+        unseen = np.flatnonzero(~listed & ~np.isfinite(first))
+        if len(plain):
+            lead[i] = own[plain[0]] - first[plain[0]]
+        if len(unseen):
+            rest[i] = own[unseen[0]]
+    codes = np.array([_code(c, size) for c in contexts], np.int64)
+    return Leaf(codes, np.concatenate(cells).astype(np.int32), np.concatenate(bits), lead, rest, first)
+
+
+def _found(sorted_: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` in a sorted array, and whether they are there."""
+    at = np.minimum(np.searchsorted(sorted_, wanted), max(len(sorted_) - 1, 0))
+    return at, sorted_[at] == wanted if len(sorted_) else np.zeros(len(wanted), bool)
+
+
+def _leaf_bits(leaf: Leaf, grams: np.ndarray) -> np.ndarray:
+    """Bits of the last symbol of each row (three, two, one back, and the symbol)."""
+    size = len(leaf.first)
+    code = np.zeros(len(grams), np.int64)
+    state = np.zeros(len(grams), np.int64)  # the empty context has the lowest code
+    for back in range(1, ORDER + 1):
+        code += (grams[:, ORDER - back] + 1) * (size + 1) ** (back - 1)
+        at, known = _found(leaf.contexts, code)
+        state[known] = at[known]
+    symbol = grams[:, ORDER]
+    at, listed = _found(leaf.cells, state * size + symbol)
+    first = leaf.first[symbol]
+    out = np.where(np.isfinite(first), leaf.lead[state] + first, leaf.rest[state])
+    out[listed] = leaf.bits[at[listed]]
+    return out
+
+
 def build_model(grams: pd.DataFrame, max_contexts: int = MAX_CONTEXTS) -> Model:
     """Freeze the statistics. ``grams`` is bounded by the training sample, not by the documents."""
     languages = sorted(grams["lang"].unique())
@@ -167,12 +239,16 @@ def build_model(grams: pd.DataFrame, max_contexts: int = MAX_CONTEXTS) -> Model:
     symbols = np.full(256, size - 1, np.int64)
     symbols[used] = np.arange(len(used))
     parts, n = symbols[parts], grams["n"].to_numpy(float)
-    keep = max(1, min(max_contexts, MODEL_BYTES // (4 * size * max(1, len(languages)) ** 2)))
     trees = []
     for lang in languages:
         own = (grams["lang"] == lang).to_numpy()
-        trees.append(_tree(parts[own], n[own], size, keep))
+        trees.append(_tree(parts[own], n[own], size, max_contexts))
     contexts = sorted({c for t in trees for c in t}, key=lambda c: (len(c), c)) or [()]
+    if 4 * len(contexts) * size * len(languages) > MODEL_BYTES:
+        leaves = [_leaf(t, size, 256 - len(used)) for t in trees]
+        if (taken := sum(x.nbytes() for x in leaves)) > MODEL_BYTES:
+            raise ValueError(f"the contexts of {len(languages)} languages take {taken} bytes, more than MODEL_BYTES")
+        return Model(languages, symbols, np.empty(0, np.int32), np.empty((0, len(languages)), np.float32), leaves)
     states = np.zeros((size,) * ORDER, np.int32)
     for i, c in enumerate(contexts):
         states[(..., *c)] = i
@@ -198,7 +274,7 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS) -> Model:
 def total_bits(model: Model, texts: pa.Array) -> np.ndarray:
     """Code length of each whole text under each language, in bits."""
     data, at = _bytes_of(texts)
-    size = round(len(model.states) ** (1 / ORDER))
+    size = round(len(model.states) ** (1 / ORDER)) if model.leaves is None else len(model.leaves[0].first)
     out = np.zeros((len(texts), len(model.languages)))
     starts = at[:-1]
     for low in range(0, len(data), _STEP):
@@ -208,14 +284,21 @@ def total_bits(model: Model, texts: pa.Array) -> np.ndarray:
         first = np.searchsorted(starts, low - lead)
         inside = starts[first : np.searchsorted(starts, high)] - (low - lead)
         one, two, three = (c[lead:] for c in _contexts(own, inside, model.symbols[_PAD]))
-        cell = model.states[(three * size + two) * size + one].astype(np.int64) * size + own[lead:]
         # Texts that have bytes in this stretch, and where they begin in it.
         doc = np.searchsorted(at, low, "right") - 1
         last = np.searchsorted(at, high - 1, "right") - 1
         every = np.arange(doc, last + 1)
         every = every[at[every + 1] > at[every]]
         begin = np.maximum(at[every] - low, 0)
-        out[every] += np.add.reduceat(model.costs[cell], begin, axis=0, dtype=np.float64)
+        if model.leaves is None:
+            cell = model.states[(three * size + two) * size + one].astype(np.int64) * size + own[lead:]
+            out[every] += np.add.reduceat(model.costs[cell], begin, axis=0, dtype=np.float64)
+            continue
+        # Each different run of four symbols is looked up once.
+        codes, where = np.unique(((three * size + two) * size + one) * size + own[lead:], return_inverse=True)
+        grams = np.stack([codes // size**k % size for k in (3, 2, 1, 0)], axis=1)
+        for j, leaf in enumerate(model.leaves):
+            out[every, j] += np.add.reduceat(_leaf_bits(leaf, grams)[where], begin, dtype=np.float64)
     return out
 
 

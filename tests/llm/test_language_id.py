@@ -7,6 +7,7 @@ from math import log2
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from paygrain.llm import language_id as L
@@ -72,6 +73,23 @@ def test_texts_in_one_batch_do_not_see_each_other(monkeypatch):
     np.testing.assert_allclose(L.total_bits(model, pa.array([t.encode() for t in texts], pa.large_binary())), alone, rtol=1e-6)
 
 
+def test_many_languages_keep_their_contexts(monkeypatch):
+    """By language the code lengths are those of the one table; a bound that neither fits is an error."""
+    rnd = random.Random(3)
+    texts = {f"l{k}": ["".join(rnd.choice("abcdefgh é."[k : k + 6]) for _ in range(300)) for _ in range(3)] for k in range(6)}
+    frame = trained(texts)
+    wide = L.build_model(frame)
+    asked = pa.array([t.encode() for t in ("abc abd", "", "é.é hg", "xyz q", "ü", "fedcba" * 40)], pa.large_binary())
+    want = L.total_bits(wide, asked)
+    monkeypatch.setattr(L, "MODEL_BYTES", wide.costs.nbytes - 1)
+    narrow = L.build_model(frame)
+    assert narrow.leaves is not None
+    np.testing.assert_allclose(L.total_bits(narrow, asked), want, rtol=1e-5)
+    monkeypatch.setattr(L, "MODEL_BYTES", 1000)
+    with pytest.raises(ValueError, match="MODEL_BYTES"):
+        L.build_model(frame)
+
+
 def test_lengths_form_a_code():
     rng = np.random.default_rng(1)
     chain = [rng.integers(0, 2, 9).astype(float) * rng.integers(1, 9, 9) for _ in range(3)]
