@@ -15,7 +15,10 @@ from paygrain.llm.common import table, written
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts that no learned language codes in fewer bits than they have."""
+    """Drops texts without a letter and texts that no learned language codes in fewer bits than they have.
+
+    Where no document outside the held-out fifth has a ``lang``, no language is learned and all texts with a letter stay.
+    """
     return language_id.keep_languages(docs, language_id.train(docs))
 
 

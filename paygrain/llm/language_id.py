@@ -350,12 +350,18 @@ def identify(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str =
 
 
 def keep_languages(docs: DataFrame, model: Model, max_bits: float = REJECT_BITS) -> DataFrame:
-    """The rows whose text is in some learned language: not ``und``, and fewer than ``max_bits`` bits a byte."""
+    """The rows whose text is in some learned language: not ``und``, and fewer than ``max_bits`` bits a byte.
+
+    If there was nothing to learn from, the rows whose text has a letter.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not shared.value.languages:
+                yield batch.filter(pa.array(has_letter(binary(batch.column(at)))))
+                continue
             langs, _, bits = predict(shared.value, batch.column(at))
             yield batch.filter(pa.array((np.array(langs, object) != UNKNOWN) & (bits < max_bits)))
 

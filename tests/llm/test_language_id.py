@@ -116,6 +116,11 @@ def test_sample_is_bounded_and_whole(documents):
     assert sample.join(documents, "text", "left_anti").count() == 0
 
 
+def test_unlabelled_texts_are_kept(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 !?", None), (3, None, None)], "doc_id bigint, text string, lang string")
+    assert [r["doc_id"] for r in L.keep_languages(docs, L.train(docs)).collect()] == [1]
+
+
 def test_messy_rows(messy, documents, none):
     model = L.train(documents)
     found = L.identify(messy, model)
