@@ -1,11 +1,11 @@
-"""Token counts by finite-state transducers over whole texts.
+"""Token counts by a finite-state transducer over whole texts and remembered merges.
 
-Two deterministic transducers are compiled from a tokenizer file. The first reads the class of each
+A deterministic transducer is compiled for the pre-tokenizer of a tokenizer file. It reads the class of each
 character and marks where pre-tokens start; where a start is known only later (after an apostrophe, which
-may open a contraction), the transition marks the earlier place. The second reads pre-tokens and emits
-how many tokens the vocabulary's merges leave of each; its transitions are compiled when first met.
+may open a contraction), the transition marks the earlier place. How many
+tokens the vocabulary's merges leave of a pre-token is found by merging when it is first met, and remembered.
 
-The first transducer does not run from the left. Texts are cut into chunks; for each chunk the state map
+The transducer does not run from the left. Texts are cut into chunks; for each chunk the state map
 (start state to end state) is built by all chunks at once, neighbouring maps are composed by a parallel
 prefix scan, and with every chunk's start state known all chunks emit their marks at once.
 """
@@ -142,7 +142,7 @@ def char_classes() -> CharClasses:
 
 
 class Lexicon(dict):
-    """The second transducer: from its only state, each pre-token leads back to it and emits a count."""
+    """Pre-token -> number of tokens its merges leave; filled when asked."""
 
     def __init__(self, merger: Merger, inner: list[int], final: list[int]) -> None:
         self.merger, self.inner, self.final = merger, inner, final
