@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, language_id, pii, quality_rules, simhash_dedup, token_count, token_ids, url_filter, warc
+from . import bpe_stream, byte_bpe, decontaminate, language_id, pii, quality_rules, simhash_dedup, token_count, token_ids, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_warc": warc.op9_warc,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_bpe_stream": bpe_stream.op11_bpe_stream,
 }
 
 ORACLE_SQL: dict[str, str] = {
