@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, byte_bpe, decontaminate, language_id, pii, quality_rules, simhash_dedup, token_count, token_ids, url_filter, warc
+from . import bpe_stream, byte_bpe, decontaminate, language_id, merkle, pii, quality_rules, simhash_dedup, token_count, token_ids, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -20,10 +20,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": warc.op9_warc,
     "op10_url_filter": url_filter.op10_url_filter,
     "op11_bpe_stream": bpe_stream.op11_bpe_stream,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_quality_rules": quality_rules.SQL,
     "op9_warc": warc.SQL,
     "op10_url_filter": url_filter.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
