@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, byte_bpe, decontaminate, language_id, merkle, pii, quality_rules, simhash_dedup, token_count, token_ids, url_filter, warc
+from . import bpe_stream, byte_bpe, decontaminate, language_id, merkle, pii, quality_rules, simhash_dedup, token_count, token_ids, url_filter, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filter": url_filter.op10_url_filter,
     "op11_bpe_stream": bpe_stream.op11_bpe_stream,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
