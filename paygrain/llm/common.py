@@ -55,14 +55,25 @@ def strings(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
+def _cuts(texts: pa.Array, max_bytes: int) -> Iterator[tuple[int, int]]:
+    start, held = 0, 0
+    for i, n in enumerate(pa.compute.binary_length(texts).fill_null(0).to_pylist()):
+        if held and held + n > max_bytes:
+            yield start, i - start
+            start, held = i, 0
+        held += n
+    if start < len(texts):
+        yield start, len(texts) - start
+
+
+def pieces(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[pa.Array]:
+    """The same texts in arrays of at most ``max_bytes``, or of one text if it is longer."""
+    for start, n in _cuts(texts, max_bytes):
+        yield texts.slice(start, n)
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: int, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts are at most ``max_bytes`` together, or one row if it is longer."""
     for batch in batches:
-        start, held = 0, 0
-        for i, n in enumerate(pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()):
-            if held and held + n > max_bytes:
-                yield batch.slice(start, i - start)
-                start, held = i, 0
-            held += n
-        if start < batch.num_rows:
-            yield batch.slice(start)
+        for start, n in _cuts(batch.column(column), max_bytes):
+            yield batch.slice(start, n)

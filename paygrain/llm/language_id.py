@@ -15,16 +15,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import binary, table
+from .common import binary, pieces, sliced, table
+
+if TYPE_CHECKING:
+    import pandas as pd
 
 ORDER = 3
 #: At most so many labelled documents of each language are learned from: a sample by a hash of the id.
@@ -337,7 +340,7 @@ def identify(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             langs, score, bits = predict(shared.value, batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(score), pa.array(bits)],
@@ -355,17 +358,19 @@ def keep_languages(docs: DataFrame, model: Model, max_bits: float = REJECT_BITS)
     If there was nothing to learn from, the rows whose text has a letter.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not shared.value.languages:
-                yield batch.filter(pa.array(has_letter(binary(batch.column(at)))))
-                continue
-            langs, _, bits = predict(shared.value, batch.column(at))
-            yield batch.filter(pa.array((np.array(langs, object) != UNKNOWN) & (bits < max_bits)))
+    def verdict(texts: pa.Array) -> np.ndarray:
+        if not shared.value.languages:
+            return has_letter(binary(texts))
+        langs, _, bits = predict(shared.value, texts)
+        return (np.array(langs, object) != UNKNOWN) & (bits < max_bits)
+
+    # Only texts go to Python and only verdicts come back; the rows stay where they are.
+    @F.arrow_udf("boolean")
+    def stays(texts: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([verdict(x) for x in pieces(texts)]) if len(texts) else np.zeros(0, bool))
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.where(stays("text"))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

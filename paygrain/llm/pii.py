@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import strings, table
+from .common import pieces, sliced, strings, table
 
 #: Fixed values of the query's contract: the base kinds, in the order they are listed.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -186,7 +186,7 @@ def find_pii(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> Dat
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             found = [[vars(x) for x in spans(t)] for t in strings(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, _SPANS)], ["key", "spans"])
 
@@ -212,25 +212,18 @@ def redact_docs(docs: DataFrame) -> DataFrame:
 
     Columns, order and number of rows are those of ``docs``. A row without personal data is unchanged.
     """
-    names = docs.columns
-    at = names.index("text")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            before = batch.column(at).to_pylist()
-            after = [t if t is None else redact(t) for t in before]
-            columns = list(batch.columns)
-            columns[at] = pa.array(after, batch.schema.field(at).type)
-            if "n_chars" in names:
-                i = names.index("n_chars")
-                counts = columns[i].to_pylist()
-                columns[i] = pa.array(
-                    [n if a == b else len(b) for n, a, b in zip(counts, before, after, strict=True)],
-                    batch.schema.field(i).type,
-                )
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return docs.mapInArrow(work, docs.schema)
+    @F.arrow_udf("string")
+    def redacted(texts: pa.Array) -> pa.Array:
+        out = [pa.array([None if t is None else redact(t) for t in x.to_pylist()], texts.type) for x in pieces(texts)]
+        return pa.concat_arrays(out) if out else pa.array([], texts.type)
+
+    after = redacted("text")
+    fresh = {"text": after}
+    if "n_chars" in docs.columns:
+        same = F.col("text").isNull() | (F.col("text") == after)
+        fresh["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.char_length(after).cast(docs.schema["n_chars"].dataType))
+    return docs.select(*[fresh.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def _joined(found: Column) -> Column:

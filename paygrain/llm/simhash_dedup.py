@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary, drop_written, row_hash, table, written
+from .common import binary, drop_written, row_hash, sliced, table, written
 
 #: The contract: three words to a shingle, links at three or fewer differing bits, seed of the hash.
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
@@ -61,7 +61,7 @@ def with_fingerprints(docs: DataFrame, keys: Sequence[str], text: str = "text",
     """``keys`` of every row and the fingerprint of its whole text, as a signed long ``fp``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, len(keys)):
             prints = np.fromiter(
                 (fingerprint(t.as_py(), shingle) for t in binary(batch.column(len(keys)))), np.uint64, batch.num_rows
             )
