@@ -17,7 +17,6 @@ U+FFFD, one for every maximal part of a character.
 from __future__ import annotations
 
 import json
-import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from functools import cache
@@ -28,17 +27,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import pretokens
 from .common import binary, sliced, table
 from .merges import byte_letters, merger_of_merges, read_vocabulary
-from .token_count import LETTER, OTHER, QUOTE, SPACE, CharClasses, char_classes
+from .pretokens import spread
+from .token_count import LETTER, OTHER, QUOTE, CharClasses, char_classes
 
 #: Bytes of a pre-token that are merged at once; more if twice the lookahead and the longest token take more.
 WINDOW = 2048
 #: Windows up to this length are merged in step with others, longer ones (few) one by one.
 IN_STEP = 64
 #: Bytes of text whose pre-tokens are found and merged at once, and ids that are decoded at once.
-BLOCK, IDS = 1 << 22, 1 << 20
-_AROUND = 16  # bytes on either side of a block that its first and last characters depend on
+BLOCK, IDS = 1 << 21, 1 << 20
 _NONE = np.int32(1 << 30)  # the rank of a pair that does not merge
 
 
@@ -146,12 +146,6 @@ def vocabulary(path: str) -> Vocabulary:
 # --- merging windows in step ------------------------------------------------------------------
 
 
-def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Indices of all members of the stretches [start, start + size), one stretch after the other."""
-    before = np.cumsum(sizes) - sizes
-    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
-
-
 def _merge_in_step(v: Vocabulary, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Merge stretches of ``data``, each by its own ranks, all at once; returns a padded row of ids each, and counts.
 
@@ -255,11 +249,16 @@ def encode_pieces(v: Vocabulary, data: np.ndarray, starts: np.ndarray, sizes: np
     out = np.empty(int(counts.sum()), np.int32)
     place = np.cumsum(counts) - counts
     for part, ids in found:
-        out[_spread(place[part], counts[part])] = ids
+        out[spread(place[part], counts[part])] = ids
     return out, counts
 
 
-# --- pre-tokens -------------------------------------------------------------------------------
+# --- texts ------------------------------------------------------------------------------------
+
+
+def encode_texts(v: Vocabulary, texts: pa.Array, found: CharClasses | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a large_binary array of UTF-8 texts, one text after the other, and where each text's ids end."""
+    return pretokens.coded(texts, _classes(found), lambda data, edges: _encode_block(v, data, edges), v.special, BLOCK)
 
 
 @cache
@@ -271,123 +270,15 @@ def _classes(found: CharClasses | None = None) -> np.ndarray:
     return out
 
 
-def pre_token_starts(points: np.ndarray, first: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """True where a pre-token starts. ``points`` are characters, ``first`` is true where a text of its own begins.
-
-    The pattern ``'s|'t|'re|'ve|'m|'ll|'d| ?L+| ?N+| ?O+|\\s+(?!\\S)|\\s+`` as rules on neighbours: a run of one
-    class starts one, unless a plain space before it does; the last white space before another character starts
-    one, and a contraction starts and ends one where no space or sign stands before its apostrophe.
-    """
-    n = len(points)
-    if not n:
-        return np.zeros(0, bool)
-    kind = classes[points]
-    blank, plain = kind == SPACE, points == 32
-    before = np.concatenate(([SPACE], kind[:-1])).astype(np.uint8)
-    after_plain = np.concatenate(([False], plain[:-1])) & ~first
-    start = first | ((kind != before) & ~after_plain)
-    # The last of some white space, where something other than white space follows in the same text.
-    last = blank[:-1] & ~blank[1:] & ~first[1:]
-    start[:-1] |= last
-    quotes = np.flatnonzero((points == 39) & (first | ((before != OTHER) & ~after_plain)))
-    if len(quotes):
-        padded, closed = np.append(points, [0, 0]), np.append(first, [True, True])
-        one, two = padded[quotes + 1], padded[quotes + 2]
-        one = np.where(closed[quotes + 1], 0, one)
-        two = np.where(closed[quotes + 1] | closed[quotes + 2], 0, two)
-        short = np.isin(one, [ord(c) for c in "stmd"])
-        long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
-        start[quotes[short | long] + 1] = False
-        ends = np.concatenate((quotes[short] + 2, quotes[long] + 3))
-        start[ends[ends < n]] = True
-    return start
-
-
-def _char_edge(data: np.ndarray, at: int) -> int:
-    """The first place from ``at`` on where a character begins."""
-    while at < len(data) and data[at] & 0xC0 == 0x80:
-        at += 1
-    return at
-
-
-def _special_places(v: Vocabulary, data: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
-    """Where special strings stand inside a text, leftmost first, the longest of those that start together."""
-    if not v.special:
-        return []
-    find = re.compile(b"|".join(re.escape(s) for s in sorted(v.special, key=len, reverse=True)))
-    raw = memoryview(data)
-    if not find.search(raw):
-        return []
-    return [(m.start() + a, m.end() + a) for a, b in zip(at[:-1].tolist(), at[1:].tolist()) for m in find.finditer(raw[a:b])]
-
-
-def encode_texts(v: Vocabulary, texts: pa.Array, found: CharClasses | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a large_binary array of UTF-8 texts, one text after the other, and where each text's ids end."""
-    _, offsets, raw = texts.buffers()
-    at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(raw, np.uint8)[at[0] : at[-1]] if raw is not None else np.empty(0, np.uint8)
-    at = at - at[0]
-    special = _special_places(v, data, at)
-    own = np.unique(np.concatenate((at[:-1], np.array(special, np.int64).ravel())))
-    ids: list[np.ndarray] = []
-    ends = np.zeros(len(at) - 1, np.int64)
-    total, open_at, low = 0, 0, 0  # open_at: where the pre-token starts that the next block may continue
-    while low < len(data):
-        high = _char_edge(data, min(low + BLOCK, len(data)))
-        begin = _char_edge(data, max(0, low - _AROUND))
-        end = _char_edge(data, min(len(data), high + _AROUND))
-        chars = np.frombuffer(data[begin:end].tobytes().decode().encode("utf-32-le"), "<u4")
-        place = begin + np.cumsum(1 + (chars > 0x7F) + (chars > 0x7FF) + (chars > 0xFFFF))
-        place = np.concatenate(([begin], place[:-1]))
-        first = np.zeros(len(chars), bool)
-        mine = own[(own >= begin) & (own < end)]
-        first[np.searchsorted(place, mine)] = True
-        here = place[pre_token_starts(chars, first, _classes(found))]
-        here = here[(here >= low) & (here < high)]
-        for a, b in special:
-            if a < high and b > low:
-                here = here[(here <= a) | (here >= b)]
-        starts = here if not len(here) or here[0] == open_at else np.append(open_at, here)
-        if high == len(data):
-            edges = np.append(starts if len(starts) else [open_at], high)
-        elif len(starts) < 2:  # still inside one long pre-token
-            low = high
-            continue
-        else:
-            edges = starts
-        block, counts = _encode_block(v, data, edges)
-        running = total + np.concatenate(([0], np.cumsum(counts)))
-        done = np.flatnonzero((at[1:] > edges[0]) & (at[1:] <= edges[-1]))
-        ends[done] = running[np.searchsorted(edges, at[1:][done])]
-        ids.append(block)
-        total, open_at, low = int(running[-1]), int(edges[-1]), high
-    # An empty text ends where the one before it does.
-    return np.concatenate(ids) if ids else np.empty(0, np.int32), np.maximum.accumulate(ends)
-
-
 def _encode_block(v: Vocabulary, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the pre-tokens between neighbouring edges; each different one is merged once."""
     sizes = np.diff(edges)
-    base = int(edges[0])
-    long = sizes > v.window  # these are streamed, and not compared
-    known = np.packbits(~long, bitorder="little")
-    plain = pa.Array.from_buffers(
-        pa.large_binary(), len(sizes),
-        [pa.py_buffer(known.tobytes()), pa.py_buffer((edges - base).astype(np.int64).tobytes()), pa.py_buffer(data[base : int(edges[-1])])],
-        null_count=int(long.sum()),
-    )
-    coded = plain.dictionary_encode()
-    which = coded.indices.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    different = len(coded.dictionary)
-    which[long] = different + np.arange(int(long.sum()))
-    # The first place of each different pre-token stands for it.
-    stand = np.empty(different + int(long.sum()), np.int64)
-    stand[which[::-1]] = np.arange(len(which))[::-1]
+    which, stand = pretokens.distinct(data, edges, v.window)  # longer ones are streamed, and not compared
     flat, counts = encode_pieces(v, data, edges[:-1][stand], sizes[stand])
     if v.special:
         flat, counts = _with_special(v, data, edges[:-1][stand], sizes[stand], flat, counts)
     place = np.cumsum(counts) - counts
-    return flat[_spread(place[which], counts[which])], counts[which]
+    return flat[spread(place[which], counts[which])], counts[which]
 
 
 def _with_special(
@@ -404,7 +295,7 @@ def _with_special(
     place = np.cumsum(after) - after
     out[place[named >= 0]] = named[named >= 0]
     plain = np.flatnonzero(named < 0)
-    out[_spread(place[plain], counts[plain])] = flat[_spread((np.cumsum(counts) - counts)[plain], counts[plain])]
+    out[spread(place[plain], counts[plain])] = flat[spread((np.cumsum(counts) - counts)[plain], counts[plain])]
     return out, after
 
 
@@ -461,7 +352,7 @@ def decode_ids(path: str, ids: np.ndarray, ends: np.ndarray) -> list[str]:
         high = int(min(max(low, ends[-1]), low + IDS))
         part = ids[low:high].astype(np.int64)
         part = np.where((part < 0) | (part >= len(sizes) - 1), len(sizes) - 1, part)
-        taken = flat[_spread(begins[part], sizes[part])].tobytes()
+        taken = flat[spread(begins[part], sizes[part])].tobytes()
         edge = np.concatenate(([0], np.cumsum(sizes[part])))
         at = 0
         while doc < len(ends) and ends[doc] <= high:

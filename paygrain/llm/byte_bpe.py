@@ -1,8 +1,7 @@
 """Byte-level BPE: texts to token ids and back.
 
-A text is cut before every space that a visible character follows; no pre-token crosses such a cut, so
-the ids of a piece do not depend on its neighbours and can be kept. Pieces met for the first time are
-split into pre-tokens, and each pre-token's bytes are merged through the rank queue of ``merges``.
+Pre-tokens are found in blocks of texts (``pretokens``). Each different one of a block is looked up among those
+merged before; one that is met for the first time is merged through the rank queue of ``merges``.
 """
 
 from __future__ import annotations
@@ -20,13 +19,17 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary, sliced, strings, table
+from .common import binary, sliced, table
 from .merges import Merger, merger_of_ranks, read_ranks
+from .pretokens import LETTER, NUMBER, OTHER, SPACE, coded, distinct, spread
 
 #: The pre-token pattern of the rank files that is understood here; others are refused.
 PATTERN = public_tokenizers.PATTERN
-#: Pieces a worker remembers, twice over (recent ones and older ones). Results do not depend on it.
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 40
+#: Pre-tokens a worker remembers, twice over (recent ones and older ones). Results do not depend on it.
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 40
+#: Longer pre-tokens are not compared with others. Bytes of text that are looked at together.
+LONGEST_COMPARED, BLOCK = 1 << 12, 1 << 20
+_IDS = 1 << 18  # ids decoded at once
 
 
 @dataclass(frozen=True)
@@ -81,35 +84,42 @@ class Memory(dict):
         return value
 
 
+def class_table(classes: Classes) -> np.ndarray:
+    """Class of every code point, for ``pretokens``."""
+    out = np.full(0x110000, OTHER, np.uint8)
+    for members, name in ((classes.letters, LETTER), (classes.numbers, NUMBER), (classes.spaces, SPACE)):
+        for low, high in re.findall(r"\\U([0-9a-f]{8})-\\U([0-9a-f]{8})", members):
+            out[int(low, 16) : int(high, 16) + 1] = name
+    return out
+
+
 class Encoder:
     """Token ids of whole texts, packed as little-endian unsigned 32-bit integers."""
 
     def __init__(self, merger: Merger, byte_ids: list[int], classes: Classes) -> None:
-        letters, numbers, spaces = classes.letters, classes.numbers, classes.spaces
-        self.merger, self.byte_ids = merger, byte_ids
-        self.pre_tokens = re.compile(
-            f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+"
-            f"|[{spaces}]+(?![^{spaces}])|[{spaces}]+"
-        ).findall
-        self.uneven = re.compile(rf" (?:[\s{spaces}]|$)").search
-        self.cut = re.compile(f" (?=[^{spaces}])").split
-        self.plain = Memory(self._piece, REMEMBERED // 4)
-        self.spaced = Memory(lambda piece: self._piece(" " + piece))  # by the piece without its space
-
-    def _merge(self, word: str) -> bytes:
+        self.merger, self.byte_ids, self.classes = merger, byte_ids, class_table(classes)
+        self.plain = Memory(self._merge, REMEMBERED // 4)
+        self.spaced = Memory(self._merge)  # pre-tokens with a leading space
+
+    def _merge(self, word: bytes) -> bytes:
         ids = self.byte_ids
-        merged = self.merger.merge([ids[b] for b in word.encode()])
-        return np.array(merged, "<u4").tobytes()
+        return np.array(self.merger.merge([ids[b] for b in word]), "<u4").tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        words = self.pre_tokens(piece)
-        if len(words) == 1:
-            return self._merge(piece)
-        return b"".join([self.spaced[w[1:]] if w[0] == " " and len(w) > 1 else self.plain[w] for w in words])
+    def _block(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        which, stand = distinct(data, edges, LONGEST_COMPARED)
+        raw, base, plain, spaced = data[edges[0] : edges[-1]].tobytes(), int(edges[0]), self.plain, self.spaced
+        begins, ends = (edges[:-1][stand] - base).tolist(), (edges[1:][stand] - base).tolist()
+        packed = [(spaced if raw[a] == 32 else plain)[raw[a:b]] for a, b in zip(begins, ends, strict=True)]
+        counts = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        every, place = np.frombuffer(b"".join(packed), "<u4"), np.cumsum(counts) - counts
+        return every[spread(place[which], counts[which])], counts[which]
+
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a large_binary array of texts, and where each text's ids end."""
+        return coded(texts, self.classes, self._block, block=BLOCK)
 
     def encode(self, text: str) -> bytes:
-        first, *rest = self.cut(text) if self.uneven(text) else text.split(" ")
-        return self.plain[first] + b"".join(map(self.spaced.__getitem__, rest))
+        return self.encode_texts(pa.array([text.encode()], pa.large_binary()))[0].astype("<u4").tobytes()
 
 
 @cache
@@ -122,8 +132,13 @@ def _encoder(path: str, pattern: str, classes: Classes) -> Encoder:
 
 
 @cache
-def _tokens(path: str) -> dict[int, bytes]:
-    return {rank: token for token, rank in read_ranks(path).items()}
+def _tokens(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all tokens, where each token's begin, and how many it has."""
+    ranks = read_ranks(path)
+    by_id = dict(zip(ranks.values(), ranks, strict=True))
+    tokens = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
+    sizes = np.array([len(t) for t in tokens], np.int64)
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
 def default_path() -> str:
@@ -141,11 +156,14 @@ def encode(
     path, classes = path or default_path(), tiktoken_classes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = _encoder(path, pattern, classes).encode
+        encoder = _encoder(path, pattern, classes)
         for batch in sliced(batches, 1):
-            ids = [code(t) for t in strings(batch.column(1))]
-            counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(ids, pa.binary())], ["key", "n_tokens", "ids"])
+            ids, ends = encoder.encode_texts(binary(batch.column(1)))
+            edges = np.concatenate(([0], ends))
+            packed = pa.Array.from_buffers(
+                pa.binary(), len(ends), [None, pa.py_buffer((4 * edges).astype(np.int32).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())]
+            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(edges)), packed], ["key", "n_tokens", "ids"])
 
     kind = docs.schema[key].dataType.simpleString()
     out = docs.select(key, text).mapInArrow(work, f"key {kind}, n_tokens bigint, ids binary")
@@ -158,11 +176,12 @@ def decode(encoded: DataFrame, *, path: str | None = None) -> DataFrame:
     at = encoded.columns.index("ids")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _tokens(path).__getitem__
+        flat, begins, sizes = _tokens(path)
         for batch in sliced(batches, at):
-            texts = [
-                b"".join(map(token, np.frombuffer(ids.as_py(), "<u4").tolist())) for ids in binary(batch.column(at))
-            ]
+            texts = []
+            for packed in binary(batch.column(at)):
+                ids = np.frombuffer(packed.as_buffer(), "<u4")
+                texts.append(b"".join(flat[spread(begins[x], sizes[x])].tobytes() for x in np.split(ids, range(_IDS, len(ids), _IDS))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
 
     fields = ", ".join(f"`{c}` {kind}" for c, kind in encoded.dtypes)
