@@ -26,7 +26,7 @@ from .pretokens import LETTER, NUMBER, OTHER, SPACE, coded, distinct, spread
 #: The pre-token pattern of the rank files that is understood here; others are refused.
 PATTERN = public_tokenizers.PATTERN
 #: Pre-tokens a worker remembers, twice over (recent ones and older ones). Results do not depend on it.
-REMEMBERED, LONGEST_REMEMBERED = 200_000, 40
+REMEMBERED, LONGEST_REMEMBERED = 100_000, 40
 #: Longer pre-tokens are not compared with others. Bytes of text that are looked at together.
 LONGEST_COMPARED, BLOCK = 1 << 12, 1 << 20
 _IDS = 1 << 18  # ids decoded at once
@@ -145,29 +145,57 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def _encoded(encoder: Encoder, batch: pa.RecordBatch) -> list[pa.Array]:
+    """Keys, counts and packed ids of a batch of keys and texts."""
+    ids, ends = encoder.encode_texts(binary(batch.column(1)))
+    edges = np.concatenate(([0], ends))
+    packed = pa.Array.from_buffers(
+        pa.binary(), len(ends), [None, pa.py_buffer((4 * edges).astype(np.int32).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())]
+    )
+    return [batch.column(0), pa.array(np.diff(edges)), packed]
+
+
+def _decoded(path: str, packed: pa.Array) -> pa.Array:
+    """The bytes of each row's packed ids."""
+    flat, begins, sizes = _tokens(path)
+    texts = []
+    for row in packed:
+        ids = np.frombuffer(row.as_buffer(), "<u4")
+        texts.append(b"".join(flat[spread(begins[x], sizes[x])].tobytes() for x in np.split(ids, range(_IDS, len(ids), _IDS))))
+    return pa.array(texts, pa.binary())
+
+
 def encode(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", path: str | None = None, pattern: str = PATTERN
 ) -> DataFrame:
     """``key``, ``n_tokens`` and ``ids`` (packed little-endian unsigned 32-bit integers) of every whole text.
 
     No shuffle and no special tokens. A null text counts as empty and has no ids. Null keys and repeated rows
-    are kept; other columns are not read.
+    are kept; an empty table gives an empty one; a very long text is read in blocks; other columns are not read.
     """
+    return _mapped(docs, key, text, path, pattern, back=False)
+
+
+def round_trip(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", path: str | None = None, pattern: str = PATTERN
+) -> DataFrame:
+    """As ``encode``, with the bytes that the ids decode to in a column ``decoded``: both in one pass through Python."""
+    return _mapped(docs, key, text, path, pattern, back=True)
+
+
+def _mapped(docs: DataFrame, key: str, text: str, path: str | None, pattern: str, back: bool) -> DataFrame:
     path, classes = path or default_path(), tiktoken_classes()
+    names = ["key", "n_tokens", "ids", *(["decoded"] if back else [])]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern, classes)
         for batch in sliced(batches, 1):
-            ids, ends = encoder.encode_texts(binary(batch.column(1)))
-            edges = np.concatenate(([0], ends))
-            packed = pa.Array.from_buffers(
-                pa.binary(), len(ends), [None, pa.py_buffer((4 * edges).astype(np.int32).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())]
-            )
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(edges)), packed], ["key", "n_tokens", "ids"])
+            columns = _encoded(encoder, batch)
+            yield pa.RecordBatch.from_arrays([*columns, _decoded(path, columns[2])] if back else columns, names)
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(key, text).mapInArrow(work, f"key {kind}, n_tokens bigint, ids binary")
-    return out.withColumnRenamed("key", key)
+    fields = f"key {kind}, n_tokens bigint, ids binary" + (", decoded binary" if back else "")
+    return docs.select(key, text).mapInArrow(work, fields).withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, *, path: str | None = None) -> DataFrame:
@@ -176,13 +204,9 @@ def decode(encoded: DataFrame, *, path: str | None = None) -> DataFrame:
     at = encoded.columns.index("ids")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, begins, sizes = _tokens(path)
         for batch in sliced(batches, at):
-            texts = []
-            for packed in binary(batch.column(at)):
-                ids = np.frombuffer(packed.as_buffer(), "<u4")
-                texts.append(b"".join(flat[spread(begins[x], sizes[x])].tobytes() for x in np.split(ids, range(_IDS, len(ids), _IDS))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
+            decoded = _decoded(path, binary(batch.column(at)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*batch.schema.names, "decoded"])
 
     fields = ", ".join(f"`{c}` {kind}" for c, kind in encoded.dtypes)
     return encoded.mapInArrow(work, f"{fields}, decoded binary")
@@ -190,7 +214,7 @@ def decode(encoded: DataFrame, *, path: str | None = None) -> DataFrame:
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded again from its ids."""
-    both = decode(encode(table(spark, sf_dir, "documents")))
+    both = round_trip(table(spark, sf_dir, "documents"))
     return both.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -11,6 +13,8 @@ from hypothesis import strategies as st
 from paygrain.llm import byte_bpe as B
 from paygrain.llm.merges import Merger, read_ranks
 
+from .conftest import SF
+
 PARTS = [" ", "  ", "\n", "\t", "a", "ing", "the", "'s", "'re", "'", "!", "1", "²", "é", "İ", "\xa0", "\x1c", "\x85", "漢", "😀", "՘", "Ⅷ", "_", "\r\n", "'ll"]
 
 
@@ -76,6 +80,35 @@ def test_messy_round_trip(messy, none, theirs):
     assert B.encode(messy).count() == messy.count() and B.decode(B.encode(none)).count() == 0
 
 
+def test_round_trip_is_encode_and_decode(messy, none):
+    def found(df):
+        return sorted(map(str, df.collect()))
+
+    assert found(B.round_trip(messy)) == found(B.decode(B.encode(messy)))
+    assert B.round_trip(none).count() == 0
+
+
+def test_query_by_the_library(spark, documents, theirs):
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.select("doc_id", "text").collect()}
+    got = B.op2_byte_bpe(spark, SF).collect()
+    assert {r["doc_id"] for r in got} == set(texts) and len(got) == documents.count()
+    for r in got:
+        ids, text = packed(theirs, texts[r["doc_id"]]), texts[r["doc_id"]].encode()
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids) // 4, hashlib.sha256(ids).hexdigest())
+        assert r["decoded_sha256"] == hashlib.sha256(text).hexdigest()
+
+
+def test_ten_megabytes(ours, theirs):
+    """With spaces; and a word of one megabyte, in two orders of blocks."""
+    rnd = random.Random(6)
+    prose = "".join(rnd.choice(["word", " other", " é", "\n", " 12", "x"]) for _ in range(3_500_000))
+    word = "".join(rnd.choice("etaoin") for _ in range(1 << 20))
+    for text in (prose, word):
+        ids = ours.encode(text)
+        assert B._decoded(B.default_path(), pa.array([ids], pa.binary()))[0].as_py() == text.encode()
+    assert ours.encode(prose) == packed(theirs, prose)
+
+
 def test_other_patterns_are_refused():
     with pytest.raises(ValueError, match="pattern"):
         B._encoder(B.default_path(), r"\S+", B.tiktoken_classes())
