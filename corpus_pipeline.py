@@ -39,7 +39,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, number of tokens, packed ids, and the digest of the text that the ids decode to."""
-    both = byte_bpe.decode(byte_bpe.encode(docs))
+    both = byte_bpe.round_trip(docs)
     return both.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
