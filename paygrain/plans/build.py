@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ from ..functions.dates import moment
 from ..operators import calendar
 from ..operators import quality as q
 from ..operators.skew import hot_keys
-from ..operators.upserts import lookback_start
 from ..sinks.export import EXPORTED, export_for_bi
-from ..sinks.tables import full_refresh, read_snapshot, upsert_partitions, write_snapshot_run
+from ..sinks.journal import Journal
+from ..sinks.key_index import KeyIndex
+from ..sinks.tables import full_refresh, journaled_upsert, read_snapshot, write_snapshot_run
 from ..sources import bronze, files
 from ..sources.contracts import CONTRACTS, Contract
 from ..sources.staging import stage, stage_all
@@ -35,6 +37,8 @@ ABSENCE_STATUSES = ["APPROVED", "CANCELLED"]
 # The movements are by far the largest relation; their staging table is kept up to date
 # load by load, partitioned by pay period. The others are small enough to rebuild.
 MOVEMENTS = "payroll_movement"
+# Fixed value: days before the newest change that an incremental batch takes again.
+LOOKBACK_DAYS = 3
 
 
 ExtraChecks = Callable[[Mapping[str, DataFrame]], Sequence[q.Check | q.RowCheck]]
@@ -62,6 +66,9 @@ class Layout:
     def serving(self) -> str:
         return f"{self.root}/serving"
 
+    def journal(self, name: str) -> str:
+        return f"{self.root}/_state/journal/{name}"
+
     def staging(self, name: str) -> str:
         return f"{self.root}/staging/{name}"
 
@@ -70,19 +77,21 @@ class Layout:
 
 
 def stage_movements(spark: SparkSession, layout: Layout, contract: Contract) -> None:
-    """Bring the staged movements up to date from the loads published since the last time.
+    """Bring the staged movements up to date from the loads that the journal does not list as staged.
 
-    Swapping partitions in is not one step. The newest load that left rows may have been cut short, so it is
-    taken again; the newest version of a key wins, whichever way it came.
+    A load counts as staged once its whole batch is; what a run that died has left half done is taken again, however
+    many loads it held and whatever rows of them lie in the table. The newest version of a key wins.
     """
-    path = layout.staging(MOVEMENTS)
-    rows = bronze.bronze_scan(spark, layout.bronze, MOVEMENTS, contract.bronze_schema)
-    if files.exists(spark, path):
-        done = spark.read.parquet(path).agg(F.max("_load_id")).first()[0]
-        if done is not None:
-            rows = rows.where(F.col("load_id") >= F.lit(done))
+    path, journal = layout.staging(MOVEMENTS), Journal(spark, layout.journal(f"staging-{MOVEMENTS}"))
+    folders = files.children(spark, f"{layout.bronze}/{MOVEMENTS}")
+    published = {f.removeprefix("load_id=") for f in folders if f.startswith("load_id=")}
+    pending = sorted(published - journal.covered("loads") if files.exists(spark, path) else published)
+    if not pending:
+        return
+    rows = bronze.bronze_scan(spark, layout.bronze, MOVEMENTS, contract.bronze_schema).where(F.col("load_id").isin(pending))
     newest = [F.col("updated_at").desc(), F.col("_load_id").desc()]
-    upsert_partitions(stage(rows, contract), path, "movement_id", "period_id", newest_first=newest)
+    index = KeyIndex(spark, path, "movement_id", "period_id")
+    journaled_upsert(stage(rows, contract), path, "movement_id", "period_id", journal, {"loads": pending}, {}, newest, index)
 
 
 def staged_relations(spark: SparkSession, layout: Layout) -> Mapping[str, DataFrame]:
@@ -96,27 +105,42 @@ def staged_relations(spark: SparkSession, layout: Layout) -> Mapping[str, DataFr
 
 
 def build_movement_fact(spark: SparkSession, layout: Layout, s: Mapping[str, DataFrame], full: bool = False) -> None:
-    """The movement fact, incrementally: only recently changed movements are processed.
+    """The movement fact, incrementally: movements staged since the last completed batch, and recent changes.
 
-    An absent or empty table is built in full. Versions are renumbered when history
-    changes, so ``full`` is offered for rebuilding older rows against them.
+    Which staged batches the fact has, and how far back "recent" goes (three days before the newest change it had
+    then), says the fact's journal, not its rows: a batch that was cut short is taken again whole. An absent or empty
+    table, or one without a completed batch, is built in full. Versions are renumbered when history changes, so
+    ``full`` is offered for rebuilding older rows against them.
     """
-    path = layout.mart("fct_payroll_movement")
+    path, journal = layout.mart("fct_payroll_movement"), Journal(spark, layout.journal("fct_payroll_movement"))
     concept_dim, employee_dim = (spark.read.parquet(layout.mart(n)) for n in ("dim_concept", "dim_employee"))
-    movements = s[MOVEMENTS]
-    since = None
-    if not full and files.exists(spark, path):
-        since = lookback_start(spark.read.parquet(path), "updated_at")
-    if since is not None:
-        movements = movements.where(F.col("updated_at") >= moment(since))
+    movements, index = s[MOVEMENTS], KeyIndex(spark, path, "movement_id", "pay_month")
+    staged = [b for b in Journal(spark, layout.journal(f"staging-{MOVEMENTS}")).batches() if b.position is not None]
+    newest = movements.agg(F.max("updated_at")).first()[0]
+    position = {"staged": staged[-1].seq if staged else 0, "newest": newest and newest.isoformat()}
+    last = journal.last_position() if not full and files.exists(spark, path) else None
+    if last and last["newest"]:
+        recent = F.col("updated_at") >= moment(datetime.fromisoformat(last["newest"]) - timedelta(days=LOOKBACK_DAYS))
+        since = [b for b in staged if b.seq > last["staged"]]
+        # A staged batch names the periods it rewrote; one that built the table names none and stands for all.
+        if any(not b.touched for b in since):
+            recent = F.lit(True)
+        elif since:
+            loads, periods = {x for b in since for x in b.scope["loads"]}, {x for b in since for x in b.touched}
+            recent = recent | (F.col("_load_id").isin(sorted(loads)) & F.col("period_id").isin(sorted(periods)))
+        movements = movements.where(recent)
     hot = hot_keys(movements, "employment_id")
     fact = marts.fct_payroll_movement(movements, s["payroll_period"], concept_dim, employee_dim, hot).withColumn(
         "pay_month", F.expr("pay_date_key div 100").cast("int")
     )
-    if since is None:
-        full_refresh(fact, path, partition_by=["pay_month"])
-    else:
-        upsert_partitions(fact, path, "movement_id", "pay_month")
+    if last and last["newest"]:
+        journaled_upsert(fact, path, "movement_id", "pay_month", journal, {"staged": position["staged"]}, position, index=index)
+        return
+    unfinished = [b.seq for b in journal.open_batches()]
+    seq = journal.begin({"full": True}, [])
+    index.forget()
+    full_refresh(fact, path, partition_by=["pay_month"])
+    journal.finish(seq, position, unfinished)
 
 
 def build_marts(spark: SparkSession, layout: Layout, s: Mapping[str, DataFrame], full: bool = False) -> None:

@@ -262,7 +262,7 @@ def source_checks(
         "rehired_too_early": rehired_too_early(employment),
         "salary_in_range": outside_range(placed, profile, "country_code", "monthly_salary", "salary_min", "salary_max"),
         "age_at_hire": age_at_hire_outside(s["employee"], employment),
-        "birth_date_null_share": null_share(s["employee"], "birth_date", 0.0, 0.02),
+        "birth_date_null_share": null_share(s["employee"], "birth_date", 0.02, 0.04),
         "audit_coherence": audit_incoherent(employment),
         "base_pay_once": base_pay_not_once(placed, period, movement, concept),
         "movement_outside_employment": movement_outside_employment(movement, placed, period),

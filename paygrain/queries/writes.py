@@ -11,6 +11,9 @@ from ..operators import snapshots, upserts
 from ..operators.sequences import latest_per_key
 from ..session import scratch_path
 from ..sinks.export import export_for_bi
+from ..sinks.journal import Journal
+from ..sinks.key_index import KeyIndex
+from ..sinks.tables import journaled_upsert, upsert_partitions
 from . import roles
 from .base import Tables, query
 
@@ -134,6 +137,63 @@ def update_top_n(t: Tables) -> DataFrame:
     ).select("c_custkey", "contract_type")
 
 
+@query(
+    "commit_recovery",
+    """
+    SELECT event_id, user_id, CAST(round(CASE WHEN event_id % 5 = 0 THEN value + 2 WHEN event_id % 3 = 0 THEN value + 1 ELSE value END, 2) AS DECIMAL(18,2)) AS amount,
+           CASE WHEN event_id % 5 = 0 THEN 3 WHEN event_id % 3 = 0 THEN 2 ELSE 1 END AS load_no,
+           CAST(user_id % 16 + CASE WHEN event_id % 15 = 0 THEN 1 ELSE 0 END AS INTEGER) AS part
+    FROM events
+    """,
+)
+def commit_recovery(t: Tables) -> DataFrame:
+    """Two loads whose commit is cut after one partition, then taken again from the journal, with keys that move."""
+    path = scratch_path(t.spark, "recovery")
+    journal, index = Journal(t.spark, f"{path}._journal"), KeyIndex(t.spark, path, "event_id", "part", width=4096)
+    number = F.when(F.col("event_id") % 5 == 0, 3).when(F.col("event_id") % 3 == 0, 2)
+
+    def load(no: int) -> DataFrame:
+        rows = t.events if no == 1 else t.events.where(number == no)
+        moved = F.when((F.lit(no) > 1) & (F.col("event_id") % 15 == 0), 1).otherwise(0)
+        return rows.select(
+            "event_id", "user_id", money(F.round(F.col("value") + (no - 1), 2)).alias("amount"), F.lit(no).alias("load_no"),
+            (F.col("user_id") % 16 + moved).cast("int").alias("part"),
+        )
+
+    newest = [F.col("load_no").desc()]
+    journaled_upsert(load(1), path, "event_id", "part", journal, {"loads": [1]}, {"loads": 1}, newest, index)
+    batch = load(2).unionByName(load(3))
+    # What a run leaves that dies in its commit: an intent, and one of its partitions swapped in.
+    journal.begin({"loads": [2, 3]}, list(range(17)))
+    first = latest_per_key(t.spark.read.parquet(path).where("part = 0").unionByName(batch.where("part = 0")), "event_id", newest)
+    cut = scratch_path(t.spark, "recovery-cut")
+    first.write.parquet(cut)
+    t.spark.read.parquet(cut).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+    pending = sorted({1, 2, 3} - journal.covered("loads"))
+    again = load(pending[0])
+    for no in pending[1:]:
+        again = again.unionByName(load(no))
+    journaled_upsert(again, path, "event_id", "part", journal, {"loads": pending}, {"loads": 3}, newest, index)
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "key_index_homes",
+    """
+    SELECT CAST(extract(year FROM o_orderdate) AS INTEGER) AS order_year, count(*) AS n_keys
+    FROM orders WHERE o_orderkey % 50 = 7 GROUP BY 1
+    """,
+)
+def key_index_homes(t: Tables) -> DataFrame:
+    """How many keys of a batch lie in each partition, from the index alone."""
+    path = scratch_path(t.spark, "homes")
+    facts = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("order_year"))
+    upsert_partitions(facts, path, "o_orderkey", "order_year")
+    index = KeyIndex(t.spark, path, "o_orderkey", "order_year", width=65_536)
+    homes = index.homes(t.orders.where("o_orderkey % 50 = 7").select("o_orderkey"))
+    return homes.groupBy("order_year").agg(F.count(F.lit(1)).alias("n_keys"))
+
+
 # The moments of three snapshot runs; the last one sees everything.
 _CUTS = ["2024-01-10", "2024-01-20", None]
 

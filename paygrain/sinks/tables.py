@@ -7,14 +7,18 @@ incremental batch replaces only the partitions that its keys touch.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from ..operators.snapshots import SCD_ID, first_snapshot, is_open, merge_open_versions, snapshot_backfill
 from ..operators.upserts import delete_insert, newest_wins
 from ..sources import files
+from .journal import Journal
+from .key_index import KeyIndex
 
 
 #: An upsert that touches more partitions than this is refused: the column does not partition, it identifies.
@@ -43,41 +47,63 @@ def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None
 
 
 def upsert_partitions(
-    batch: DataFrame, path: str, key: str, partition: str, newest_first: Sequence[Column] | None = None
-) -> None:
-    """Delete-and-insert by ``key`` into a table partitioned by ``partition``.
-
-    The partitions to rewrite are those the batch falls into and those where its keys
-    now lie. Finding them reads two columns; the rest of the table is not touched. Spark
-    stages the new partitions and swaps them in when the job commits. Running the same
-    batch twice leaves the same table. The partition column holds
-    whole numbers or dates and must not be NULL.
-
-    With ``newest_first`` a key keeps its newest row of table and batch under that
-    order, for batches that may hold older versions than the table does. The batch is computed once.
+    batch: DataFrame,
+    path: str,
+    key: str,
+    partition: str,
+    newest_first: Sequence[Column] | None = None,
+    index: KeyIndex | None = None,
+    also: Sequence = (),
+    before: Callable[[list], None] | None = None,
+) -> list:
+    """Delete-and-insert by ``key`` into a table partitioned by ``partition``; returns the partitions rewritten.
+
+    The partitions to rewrite are those the batch falls into, those where its keys now lie, and those of ``also``.
+    Where keys lie says ``index``, which is kept up to date; without one, two columns of the table are read. The rest
+    of the table is not touched. Spark stages the new partitions and swaps them in when the job commits. Running the
+    same batch twice leaves the same table. The partition column holds whole numbers or dates and must not be NULL.
+
+    With ``newest_first`` a key keeps its newest row of table and batch under that order, for batches that may hold
+    older versions than the table does. The batch is computed once. ``before`` is told the partitions first.
     """
     spark = batch.sparkSession
     target = _read(spark, path)
     if target is None:
+        if before:
+            before([])
+        if index:
+            index.forget()
         _write_partitions(batch, path, partition)
-        return
+        return []
     batch, beside = _once(batch, path)
     try:
-        _upsert(target, batch, path, key, partition, newest_first)
+        return _upsert(target, batch, path, key, partition, newest_first, index, also, before)
     finally:
         files.remove(spark, beside)
 
 
 def _upsert(
-    target: DataFrame, batch: DataFrame, path: str, key: str, partition: str, newest_first: Sequence[Column] | None
-) -> None:
+    target: DataFrame,
+    batch: DataFrame,
+    path: str,
+    key: str,
+    partition: str,
+    newest_first: Sequence[Column] | None,
+    index: KeyIndex | None,
+    also: Sequence,
+    before: Callable[[list], None] | None,
+) -> list:
     spark = batch.sparkSession
-    old_homes = target.select(key, partition).join(batch.select(key), key, "left_semi").select(partition)
-    touched = [r[0] for r in old_homes.unionByName(batch.select(partition)).distinct().limit(MAX_PARTITIONS + 1).collect()]
+    keys = batch.select(key)
+    old_homes = index.homes(keys) if index else target.select(key, partition).join(keys, key, "left_semi").select(partition)
+    homes = old_homes.unionByName(batch.select(partition)).distinct().limit(MAX_PARTITIONS + 1)
+    touched = sorted({r[0] for r in homes.collect()} | set(also))
     if len(touched) > MAX_PARTITIONS:
         raise ValueError(f"{partition} has too many values to partition by")
+    if before:
+        before(touched)
     if not touched:
-        return
+        return []
     affected = target.where(F.col(partition).isin(touched))
     fresh = batch.select(*target.columns)
     if newest_first is None:
@@ -87,11 +113,42 @@ def _upsert(
     # A dynamic overwrite replaces only partitions it writes rows to. One that lost its last
     # row keeps its old files, which tell it apart from the rewritten ones.
     folders = {value: f"{path}/{partition}={value}" for value in touched}
-    before = {value: files.children(spark, folder) for value, folder in folders.items()}
+    held = {value: files.children(spark, folder) for value, folder in folders.items()}
     _write_partitions(merged, path, partition)
     for value, folder in folders.items():
-        if before[value] and files.children(spark, folder) == before[value]:
+        if held[value] and files.children(spark, folder) == held[value]:
             files.remove(spark, folder)
+    if index:
+        index.record(keys, touched)
+    return touched
+
+
+def journaled_upsert(
+    batch: DataFrame,
+    path: str,
+    key: str,
+    partition: str,
+    journal: Journal,
+    scope: Mapping,
+    position: Mapping,
+    newest_first: Sequence[Column] | None = None,
+    index: KeyIndex | None = None,
+) -> None:
+    """``upsert_partitions`` as one batch of a journal: intent, write, index, done.
+
+    ``batch`` must hold all that is pending, what open intents were about included. Their partitions are
+    rewritten with it, so that no row of a cut commit is left behind.
+    """
+    unfinished = journal.open_batches()
+    kind = batch.schema[partition].dataType
+    also = {date.fromisoformat(v) if isinstance(kind, DateType) else v for b in unfinished for v in b.touched}
+    if unfinished and index:
+        index.forget()  # it may have lost a bucket with them
+    begun: list[int] = []
+    upsert_partitions(
+        batch, path, key, partition, newest_first, index, sorted(also), lambda touched: begun.append(journal.begin(scope, touched))
+    )
+    journal.finish(begun[0], position, [b.seq for b in unfinished])
 
 
 def write_snapshot_run(current: DataFrame, path: str, key: str, updated_at: str, run_id: str) -> None:
@@ -100,7 +157,8 @@ def write_snapshot_run(current: DataFrame, path: str, key: str, updated_at: str,
     Open versions lie in partition ``open``; a run writes the versions it closes to a partition of its own, so
     closed history is never rewritten. The merge is computed once. Closed rows are written first. A run that
     dies between the two writes leaves versions both closed and open; the next one, under whatever id, closes
-    the open ones again and leaves out those that are stored as closed already.
+    the open ones again and leaves out those that are stored as closed already. A run under an id that was used
+    before adds to the partition of that id.
     """
     spark = current.sparkSession
     if not files.exists(spark, path):
@@ -113,7 +171,16 @@ def write_snapshot_run(current: DataFrame, path: str, key: str, updated_at: str,
     try:
         known = stored.where("closed_in <> 'open'").select(SCD_ID)
         closed = merged.where(~is_open()).join(known, SCD_ID, "left_anti").select(*merged.columns)
-        _write_partitions(closed.withColumn("closed_in", F.lit(run_id)), path, "closed_in")
+        closed = closed.withColumn("closed_in", F.lit(run_id))
+        if files.exists(spark, f"{path}/closed_in={run_id}"):
+            held = stored.where(F.col("closed_in") == run_id)
+            both, twice = _once(held.unionByName(closed, allowMissingColumns=True), path)
+            try:
+                _write_partitions(both, path, "closed_in")
+            finally:
+                files.remove(spark, twice)
+        else:
+            _write_partitions(closed, path, "closed_in")
         _write_partitions(merged.where(is_open()).withColumn("closed_in", F.lit("open")), path, "closed_in")
     finally:
         files.remove(spark, beside)

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.sequences import latest_per_key
-from ..sinks.tables import upsert_partitions
+from ..sinks.journal import Journal
+from ..sinks.key_index import KeyIndex
+from ..sinks.tables import journaled_upsert
 from ..sources.contracts import Contract
 
 
@@ -37,12 +39,14 @@ def upsert_stream(
     """Bring ``target`` up to date with every load published so far, then stop.
 
     ``order`` ranks the versions of a key, newest first. ``partition`` is a column of the
-    loads; a micro-batch rewrites only the partitions its keys touch.
+    loads; a micro-batch rewrites only the partitions its keys touch, which a key index tells. A replayed
+    micro-batch also rewrites those of the attempt that was cut short.
     """
 
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        newest = latest_per_key(batch, key, order())
-        upsert_partitions(newest, target, key, partition, newest_first=order())
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        newest, spark = latest_per_key(batch, key, order()), batch.sparkSession
+        journal, index = Journal(spark, f"{target}._journal"), KeyIndex(spark, target, key, partition)
+        journaled_upsert(newest, target, key, partition, journal, {"batch": batch_id}, {"batch": batch_id}, order(), index)
 
     return (
         loads.writeStream.foreachBatch(apply)
