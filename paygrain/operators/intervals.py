@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.dates import month_start, open_end
 from .sequences import latest_per_key
@@ -119,3 +120,60 @@ def resolve_by_priority(
         rank = F.when(F.col(column) == name, F.lit(place)).otherwise(rank)
     order = [rank.asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_breakers]]
     return latest_per_key(df.repartition(*keys), keys, order)
+
+
+def elementary_ranges(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """``keys``, place, lo, hi: each entity's time cut at every start and end of its ranges, gaps included."""
+    edges = df.where(F.col(end) >= F.col(start)).select(*keys, F.explode(F.array(F.col(start), F.date_add(end, 1))).alias("lo")).distinct()
+    order = Window.partitionBy(*keys).orderBy("lo")
+    return edges.withColumns({"place": F.row_number().over(order), "_next": F.lead("lo").over(order)}).select(
+        *keys, "place", "lo", F.date_sub("_next", 1).alias("hi")
+    )
+
+
+def resolve_ranges(df: DataFrame, keys: Sequence[str], start: str, end: str, rank: Column, winner: Sequence[str]) -> DataFrame:
+    """``keys``, ``winner``, lo, hi: who counts when, one row per stretch in which the same range wins.
+
+    Of the ranges over a stretch the lowest ``rank`` wins, then the lowest ``winner`` columns. Ranges are cut at one
+    another's edges and compared there, never day by day: the work grows with the number of overlaps, not of days. Both
+    edges of a range are found by equi-joins; the best of a stretch is taken before and after the shuffle.
+    """
+    cuts = elementary_ranges(df, keys, start, end)
+    best = F.struct(rank.alias("rank"), *winner)
+    own = df.where(F.col(end) >= F.col(start)).select(*keys, F.col(start).alias("lo"), F.date_add(end, 1).alias("_stop"), best.alias("_best"))
+    begun = own.join(cuts.select(*keys, "lo", F.col("place").alias("_from")), [*keys, "lo"])
+    ended = begun.join(cuts.select(*keys, F.col("lo").alias("_stop"), F.col("place").alias("_to")), [*keys, "_stop"])
+    covered = ended.select(*keys, F.explode(F.sequence("_from", F.col("_to") - 1)).alias("place"), "_best")
+    chosen = covered.groupBy(*keys, "place").agg(F.min("_best").alias("_best")).join(cuts, [*keys, "place"])
+    # Neighbouring stretches of one winner are one.
+    order = Window.partitionBy(*keys).orderBy("lo")
+    follows = F.lag("_best").over(order).eqNullSafe(F.col("_best")) & (F.lag("hi").over(order) == F.date_sub("lo", 1))
+    marked = chosen.withColumn("_opens", F.when(follows, 0).otherwise(1))
+    numbered = marked.withColumn("_run", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = numbered.groupBy(*keys, "_run").agg(F.first("_best").alias("_best"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return runs.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in winner], "lo", "hi")
+
+
+def overlap_figures(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """n_pairs (pairs of overlapping ranges of one entity), n_days (of all ranges), excess_days (counted more than once).
+
+    A sweep over starts and ends: a range that opens overlaps all that are open, so no pair is ever made.
+    """
+    ranges = df.where(F.col(end) >= F.col(start))
+    steps = ranges.select(
+        *keys,
+        F.explode(F.array(F.struct(F.col(start).alias("day"), F.lit(1).alias("step")), F.struct(F.date_add(end, 1).alias("day"), F.lit(-1).alias("step")))).alias("e"),
+    ).select(*keys, "e.day", "e.step")
+    order = Window.partitionBy(*keys).orderBy("day", "step")  # what ends before a day is gone when another starts on it
+    swept = steps.withColumns(
+        {
+            "before": F.coalesce(F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "until": F.lead("day").over(order),
+        }
+    ).withColumn("open", F.col("before") + F.col("step"))
+    width = F.when(F.col("open") > 0, F.datediff("until", "day")).otherwise(0)
+    return swept.agg(
+        F.coalesce(F.sum(F.when(F.col("step") == 1, F.col("before"))), F.lit(0)).alias("n_pairs"),
+        F.coalesce(F.sum(width * F.col("open")), F.lit(0)).alias("n_days"),
+        F.coalesce(F.sum(width * (F.col("open") - 1)), F.lit(0)).alias("excess_days"),
+    )
