@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import insort
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -66,13 +67,14 @@ class HostNode:
 
 
 class PathNode:
-    """One whole path segment. ``tails`` are entries that end inside the next segment."""
+    """One whole path segment. ``tails`` are entries that end inside the next segment, ``sizes`` their lengths, falling."""
 
-    __slots__ = ("segments", "tails")
+    __slots__ = ("segments", "sizes", "tails")
 
     def __init__(self) -> None:
         self.segments: dict[str, PathNode] = {}
         self.tails: dict[str, Rule] = {}
+        self.sizes: list[int] = []
 
 
 def build_trie(rules: Iterable[Rule]) -> HostNode:
@@ -88,6 +90,8 @@ def build_trie(rules: Iterable[Rule]) -> HostNode:
         *whole, tail = rule.path.split("/")
         for segment in whole:
             spot = spot.segments.setdefault(segment, PathNode())
+        if len(tail) not in spot.sizes:
+            insort(spot.sizes, len(tail), key=lambda n: -n)
         if tail not in spot.tails or rule.verdict == "block":
             spot.tails[tail] = rule
     return root
@@ -96,9 +100,12 @@ def build_trie(rules: Iterable[Rule]) -> HostNode:
 def _longest_path(node: PathNode, segments: list[str]) -> Rule | None:
     best = None
     for depth, segment in enumerate(segments):
-        for tail, rule in node.tails.items():
-            if segment.startswith(tail) and (best is None or len(rule.text) > len(best.text)):
-                best = rule
+        # One look-up for each length that occurs, however many entries there are.
+        for size in node.sizes:
+            rule = node.tails.get(segment[:size]) if size <= len(segment) else None
+            if rule is not None:
+                best = rule  # longer than what a shorter path has found
+                break
         node = node.segments.get(segment) if depth + 1 < len(segments) else None
         if node is None:
             break
