@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from math import log2
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +21,9 @@ from .common import pieces, sliced, strings, table
 
 #: Fixed values of the query's contract: the base kinds, in the order they are listed.
 BASE_KINDS = ("email", "ip", "card", "phone")
-#: Kinds the method adds: bank accounts (mod 97), and national phone numbers that context words confirm.
-ADDED_KINDS = ("iban", "local_phone")
+#: Kinds the method adds: bank accounts (mod 97), national phone numbers that context words confirm, assigned secrets
+#: (length and entropy), national identity numbers (mod 23) and bank routing numbers (weights 3, 7, 1).
+ADDED_KINDS = ("iban", "local_phone", "secret", "national_id", "routing")
 KINDS = BASE_KINDS + ADDED_KINDS
 
 #: Code points on either side of a span that are searched for context words.
@@ -35,7 +38,18 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+().-])(?:\([0-9]{2,5}\) ?|[0-9]{2,5}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])")
+_SECRET = re.compile(
+    r"(?<![A-Za-z])(?:token|secret|passwords?|passwd|pwd|credentials?|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|key)"
+    r"[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9+/_.=-]{16,}+)",
+    re.IGNORECASE,
+)
+_NATIONAL = re.compile(r"(?<![A-Za-z0-9])[0-9]{8}-?[A-Z](?![A-Za-z0-9])")
+_ROUTING = re.compile(r"(?<![0-9A-Za-z.+-])[0-9]{9}(?![0-9A-Za-z-])")
 _DIGIT = re.compile(r"[0-9]")
+#: Check letters of the identity number by remainder, weights of the routing number.
+_MOD23, _WEIGHTS = "TRWAGMYFPDXBNJZSQVHLCKE", (3, 7, 1)
+#: An assigned value of at least 16 characters is a secret from so many bits of entropy a character on.
+MIN_ENTROPY = 2.75
 
 #: Words that raise the score of a kind when they stand near a span, and words that lower it.
 CONTEXT = {
@@ -45,10 +59,13 @@ CONTEXT = {
     "phone": ("phone", "tel", "call", "mobile", "cell", "fax", "telefon", "téléphone", "teléfono"),
     "iban": ("iban", "account", "bank", "transfer", "konto", "compte", "cuenta"),
     "local_phone": ("phone", "tel", "call", "mobile", "cell", "fax", "telefon", "téléphone", "teléfono"),
+    "secret": ("token", "secret", "password", "key", "credential", "login"),
+    "national_id": ("dni", "nif", "id", "identity", "identidad", "documento"),
+    "routing": ("routing", "aba", "rtn", "bank"),
 }
 AGAINST = ("version", "isbn", "order", "invoice", "example", "page", "section")
 #: Score by pattern alone, and after a validator has confirmed the span.
-START = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.6, "iban": 0.3, "local_phone": 0.3}
+START = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.6, "iban": 0.3, "local_phone": 0.3, "secret": 0.3, "national_id": 0.3, "routing": 0.0}
 CONFIRMED = 0.3
 _WORD = re.compile(r"[^\W\d_][\w-]*")
 
@@ -121,14 +138,43 @@ def accounts(text: str) -> Iterator[tuple[int, int]]:
                 break
 
 
+def entropy(value: str) -> float:
+    """Bits a character, by the value's own frequencies."""
+    n = len(value)
+    return -sum(c / n * log2(c / n) for c in Counter(value).values())
+
+
+def secrets(text: str) -> Iterator[tuple[int, int]]:
+    """Values assigned to a name such as token or password; words and repeated signs have no digit or too little entropy."""
+    for m in _SECRET.finditer(text):
+        value = m[1].rstrip(".=")
+        if len(value) >= 16 and _DIGIT.search(value) and entropy(value) >= MIN_ENTROPY:
+            yield m.start(1), m.start(1) + len(value)
+
+
+def national_ids(text: str) -> Iterator[tuple[int, int]]:
+    for m in _NATIONAL.finditer(text):
+        if _MOD23[int(m[0][:8]) % 23] == m[0][-1]:
+            yield m.span()
+
+
+def routing_numbers(text: str) -> Iterator[tuple[int, int]]:
+    for m in _ROUTING.finditer(text):
+        if sum(int(d) * _WEIGHTS[i % 3] for i, d in enumerate(m[0])) % 10 == 0 and m[0] != "0" * 9:
+            yield m.span()
+
+
 def local_phones(text: str) -> Iterator[tuple[int, int]]:
     for m in _LOCAL_PHONE.finditer(text):
         if 7 <= len(_digits(m[0])) <= 11:
             yield m.span()
 
 
-_FINDERS = {"email": emails, "ip": addresses, "card": cards, "phone": phones, "iban": accounts, "local_phone": local_phones}
-_CHECKED = {"ip", "card", "iban"}
+_FINDERS = {
+    "email": emails, "ip": addresses, "card": cards, "phone": phones, "iban": accounts, "local_phone": local_phones,
+    "secret": secrets, "national_id": national_ids, "routing": routing_numbers,
+}
+_CHECKED = {"ip", "card", "iban", "secret", "national_id", "routing"}
 
 
 def _score(kind: str, text: str, start: int, end: int) -> float:
@@ -182,7 +228,8 @@ _SPANS = pa.list_(
 def find_pii(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and an array ``spans`` of (kind, start, end, score) in code points, one row per input row.
 
-    No shuffle. A null text counts as empty; repeated rows and null keys are kept; other columns are not read.
+    No shuffle. A null text counts as empty; repeated rows and null keys are kept; an empty table gives an empty one; a
+    text of any length is searched whole, in time linear in it; other columns are not read.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,6 +288,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [
         F.size(F.filter("spans", _is_kind(kind))).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS
     ]
+    scores = F.array_join(F.transform("spans", lambda x: x["score"].cast("string")), ",")
     return found.select(
-        "doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")
+        "doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"), scores.alias("scores")
     )

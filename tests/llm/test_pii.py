@@ -90,3 +90,40 @@ def test_query(spark, documents):
         joined = ",".join(f"{k}:{s}:{e}" for k, s, e in want)
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert [r[f"n_{k}"] for k in P.BASE_KINDS] == [sum(x[0] == k for x in want) for k in P.BASE_KINDS]
+
+
+def found(text):
+    return [(x.kind, text[x.start : x.end]) for x in P.spans(text)]
+
+
+def test_assigned_secrets():
+    value = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    for text in (f'token = "{value}" x', f"TOKEN: '{value.upper()}'", f"api_key={value}", f'"secret": "{value}"', f"password = {value}."):
+        assert [k for k, _ in found(text)] == ["secret"] and found(text)[0][1].lower() == value
+    assert P.redact(f'a token = "{value}" b') == 'a token = "<SECRET>" b'
+    for text in (f"commit {value}", 'token = "aaaaaaaaaaaaaaaaaaaaaaa1"', "token = internationalization", "tokens: 12", f"notatoken = {value}", "key = 1"):
+        assert not found(text), text
+
+
+def test_checked_national_numbers():
+    assert found("DNI 12345678Z del titular") == [("national_id", "12345678Z")]
+    assert not found("DNI 12345678A del titular")
+    assert found("bank routing number 021000021") == [("routing", "021000021")]
+    assert not found("bank routing number 021000022") and not found("part 021000021")
+
+
+def test_planted_documents(spark):
+    """Every document with an assigned hexadecimal token is found, and nothing but values of that form counts as one."""
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    planted = [t for t in texts if re.search(r'(?i)token = "[0-9a-f]{40}"', t)]
+    assert planted
+    for t in texts:
+        values = [v for k, v in found(t) if k == "secret"]
+        assert values == re.findall(r'(?i)token = "([0-9a-f]{40})"', t)
+
+
+def test_ten_megabytes_in_linear_time():
+    started = time.perf_counter()
+    for text in ("token = " * 300_000, "key=" + "a1" * 1_000_000, "12345678Z " * 200_000, "x" * 10_000_000, "021000021 " * 200_000):
+        P.spans(text)
+    assert time.perf_counter() - started < 120
