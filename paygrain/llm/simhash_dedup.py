@@ -30,6 +30,8 @@ from .common import binary, drop_written, row_hash, sliced, table, written
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
 #: A posting with more members than this is split by two further byte positions.
 LARGE_POSTING = 4096
+#: Rows of a fingerprint that has more than one in so many are labelled where they lie.
+HOT_SHARE = 1000
 BYTES = 8
 MIN_SHARED = BYTES - MAX_BITS
 _BLOCK = 1 << 16  # shingles whose bits are counted at once
@@ -288,14 +290,18 @@ def near_duplicates(
     are not read.
     """
     prints, _ = written(with_fingerprints(docs, keys, text, shingle), "prints")
-    nodes = prints.groupBy("fp").agg(F.min(best).alias("own"))
+    nodes = prints.groupBy("fp").agg(F.min(best).alias("own"), F.count(F.lit(1)).alias("copies"))
     nodes, _ = written(nodes, "nodes")
     parts, _ = written(components(links(nodes.select("fp"), max_bits)), "parts")
     linked = nodes.join(parts, F.col("fp") == F.col("node"))
     lowest = linked.groupBy("root").agg(F.min("own").alias("best"))
     member = parts.join(lowest, "root").select(F.col("node").alias("fp"), "best")
-    label = nodes.join(member, "fp", "left").select("fp", F.coalesce("best", "own").alias("best"))
-    return prints.join(label, "fp")
+    label, _ = written(nodes.join(member, "fp", "left").select("fp", F.coalesce("best", "own").alias("best"), "copies"), "labels")
+    # Copies of one text are not gathered: at most HOT_SHARE fingerprints have so many, and their labels are broadcast.
+    crowd = F.col("copies") * HOT_SHARE > prints.count()
+    hot = label.where(crowd).drop("copies")
+    cool = prints.join(F.broadcast(hot.select("fp")), "fp", "left_anti").join(label.where(~crowd).drop("copies"), "fp")
+    return cool.unionByName(prints.join(F.broadcast(hot), "fp"))
 
 
 def hex_print(fp: Column) -> Column:
