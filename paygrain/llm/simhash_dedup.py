@@ -325,5 +325,8 @@ def keep_one(docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BIT
         marked.select(id_, hash_, "text"), [id_, hash_], F.struct(id_, hash_), shingle=shingle, max_bits=max_bits
     )
     best = found.select("best.*").distinct()
-    first = marked.join(best, [hash_, id_], "left_semi").dropDuplicates([hash_, id_])
+    first = marked.join(best, [hash_, id_], "left_semi")
+    # Only where a row occurs twice must whole rows meet once more to become one.
+    if not found.groupBy(hash_, id_).count().where("count > 1").isEmpty():
+        first = first.dropDuplicates([hash_, id_])
     return first.select(*[F.col(f"`{c}`") for c in docs.columns])
