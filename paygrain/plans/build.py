@@ -7,6 +7,7 @@ step can be repeated: it then leaves the same tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import moment
-from ..operators import calendar
+from ..operators import calendar, histories
 from ..operators import quality as q
 from ..operators.skew import hot_keys
 from ..sinks.export import EXPORTED, export_for_bi
@@ -104,13 +105,49 @@ def staged_relations(spark: SparkSession, layout: Layout) -> Mapping[str, DataFr
     return {c.folder: spark.read.parquet(layout.staging(c.folder)) for c in CONTRACTS}
 
 
+def _keep_versions(spark: SparkSession, layout: Layout, employee_dim: DataFrame) -> str:
+    """Write the version history that a batch of the fact is tied to; its done record names the folder."""
+    name = f"fct_payroll_movement._versions-{uuid.uuid4().hex[:12]}"
+    held = F.struct("employee_sk", "hire_date").alias("held")
+    employee_dim.select("employment_id", "hire_date", "valid_from", "valid_to", held).write.parquet(layout.mart(name))
+    return name
+
+
+def _drop_older_versions(spark: SparkSession, layout: Layout, kept: str) -> None:
+    for name in files.children(spark, f"{layout.root}/marts"):
+        if name.startswith("fct_payroll_movement._versions-") and name != kept:
+            files.remove(spark, layout.mart(name))
+
+
+def stale_movements(movements: DataFrame, period: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame | None:
+    """Movements that fall into another employee version than under the history ``before``; None if there is none to look for.
+
+    Movements are looked up in the periods from the first changed day on. Only where a changed range holds the day
+    of hire, to which earlier pay is moved, all periods are.
+    """
+    changed = histories.changed_ranges(before, after, "employment_id", "valid_from", "valid_to", "held")
+    hired = after.select("employment_id", "hire_date").distinct()
+    changed = changed.join(hired, "employment_id").select("employment_id", "hire_date", "lo", "hi")
+    first, early = changed.agg(F.min("lo"), F.max(F.col("hire_date").between(F.col("lo"), F.col("hi")))).first()
+    if first is None:
+        return None
+    periods = period.select("period_id", "start_date")
+    if not early:
+        periods = periods.where(F.col("start_date") >= F.lit(first))
+        movements = movements.where(F.col("period_id").isin([r[0] for r in periods.select("period_id").collect()]))
+    dated = movements.join(periods, "period_id").alias("m")
+    at = F.greatest(F.col("m.start_date"), F.col("c.hire_date"))
+    same = F.col("m.employment_id") == F.col("c.employment_id")
+    return dated.join(changed.alias("c"), same & at.between(F.col("c.lo"), F.col("c.hi")), "left_semi").select(*movements.columns)
+
+
 def build_movement_fact(spark: SparkSession, layout: Layout, s: Mapping[str, DataFrame], full: bool = False) -> None:
     """The movement fact, incrementally: movements staged since the last completed batch, and recent changes.
 
     Which staged batches the fact has, and how far back "recent" goes (three days before the newest change it had
     then), says the fact's journal, not its rows: a batch that was cut short is taken again whole. An absent or empty
-    table, or one without a completed batch, is built in full. Versions are renumbered when history changes, so
-    ``full`` is offered for rebuilding older rows against them.
+    table, or one without a completed batch, is built in full. Versions are renumbered when history changes: the
+    history of the last completed batch is kept, and movements in ranges that differ from it are taken again too.
     """
     path, journal = layout.mart("fct_payroll_movement"), Journal(spark, layout.journal("fct_payroll_movement"))
     concept_dim, employee_dim = (spark.read.parquet(layout.mart(n)) for n in ("dim_concept", "dim_employee"))
@@ -119,6 +156,10 @@ def build_movement_fact(spark: SparkSession, layout: Layout, s: Mapping[str, Dat
     newest = movements.agg(F.max("updated_at")).first()[0]
     position = {"staged": staged[-1].seq if staged else 0, "newest": newest and newest.isoformat()}
     last = journal.last_position() if not full and files.exists(spark, path) else None
+    position["versions"] = _keep_versions(spark, layout, employee_dim)
+    after = spark.read.parquet(layout.mart(position["versions"]))
+    if last and last["newest"] and "versions" not in last:
+        last = None  # from before histories were kept: nothing says which rows are stale
     if last and last["newest"]:
         recent = F.col("updated_at") >= moment(datetime.fromisoformat(last["newest"]) - timedelta(days=LOOKBACK_DAYS))
         since = [b for b in staged if b.seq > last["staged"]]
@@ -128,19 +169,23 @@ def build_movement_fact(spark: SparkSession, layout: Layout, s: Mapping[str, Dat
         elif since:
             loads, periods = {x for b in since for x in b.scope["loads"]}, {x for b in since for x in b.touched}
             recent = recent | (F.col("_load_id").isin(sorted(loads)) & F.col("period_id").isin(sorted(periods)))
-        movements = movements.where(recent)
+        old = movements.where(~F.coalesce(recent, F.lit(False)))
+        stale = stale_movements(old, s["payroll_period"], spark.read.parquet(layout.mart(last["versions"])), after)
+        movements = movements.where(recent) if stale is None else movements.where(recent).unionByName(stale)
     hot = hot_keys(movements, "employment_id")
     fact = marts.fct_payroll_movement(movements, s["payroll_period"], concept_dim, employee_dim, hot).withColumn(
         "pay_month", F.expr("pay_date_key div 100").cast("int")
     )
     if last and last["newest"]:
         journaled_upsert(fact, path, "movement_id", "pay_month", journal, {"staged": position["staged"]}, position, index=index)
+        _drop_older_versions(spark, layout, position["versions"])
         return
     unfinished = [b.seq for b in journal.open_batches()]
     seq = journal.begin({"full": True}, [])
     index.forget()
     full_refresh(fact, path, partition_by=["pay_month"])
     journal.finish(seq, position, unfinished)
+    _drop_older_versions(spark, layout, position["versions"])
 
 
 def build_marts(spark: SparkSession, layout: Layout, s: Mapping[str, DataFrame], full: bool = False) -> None:

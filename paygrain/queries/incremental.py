@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import money
-from ..operators import bitmaps, digests, intervals, islands
+from ..operators import asof, bitmaps, digests, histories, intervals, islands, sequences, summaries
 from ..plans.marts import ABSENCE_PRIORITY
 from ..session import scratch_path
 from . import roles
@@ -122,3 +122,82 @@ def resolve_ranges(t: Tables) -> DataFrame:
 def overlap_figures(t: Tables) -> DataFrame:
     """Pairs of overlapping absences and the days they would count twice."""
     return intervals.overlap_figures(_approved(t), ["employment_id"], "start_date", "end_date")
+
+
+def _asof(t: Tables, rows_per_task: int | None) -> DataFrame:
+    placed = t.orders.select("o_orderkey", F.col("o_custkey").alias("employment_id"), F.col("o_orderdate").cast("date").alias("day"))
+    versions = roles.dim_employee(t).select("employment_id", "employee_sk", "version", "valid_from", "valid_to")
+    edges = asof.range_edges(placed, "employment_id", "day", rows_per_task) if rows_per_task else None
+    return asof.asof_join(placed, versions, "employment_id", "day", how="left", edges=edges).select(
+        "o_orderkey", F.col("employment_id").alias("o_custkey"), "employee_sk", "version"
+    )
+
+
+_ASOF = """
+    SELECT o_orderkey, o_custkey, de.employee_sk, de.version FROM orders
+    LEFT JOIN m_dim_employee de ON de.employment_id = o_custkey AND CAST(o_orderdate AS DATE) BETWEEN de.valid_from AND de.valid_to
+"""
+
+
+@query("asof_merge", _ASOF)
+def asof_merge(t: Tables) -> DataFrame:
+    """Each order with the version in force, if any, by one ordered pass over orders and versions together."""
+    return _asof(t, None)
+
+
+@query("asof_merge_ranges", _ASOF)
+def asof_merge_ranges(t: Tables) -> DataFrame:
+    """The same with a task's share so low that many customers are cut into ranges of their order dates."""
+    return _asof(t, 8)
+
+
+_CHANGED_ORDERS = "o_orderkey % 11 = 0 OR o_orderkey % 13 = 0"
+
+
+@query(
+    "maintained_summary",
+    """
+    SELECT priority, order_year, count(*) AS n_rows, CAST(sum(amount) AS DECIMAL(38,2)) AS amount FROM
+      (SELECT CASE WHEN o_orderkey % 13 = 0 THEN '5-LOW' ELSE o_orderpriority END AS priority, CAST(year(o_orderdate) AS INTEGER) AS order_year,
+              CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END AS amount
+       FROM orders WHERE NOT (o_orderkey % 11 = 0 AND o_orderkey % 13 <> 0))
+    GROUP BY 1, 2
+    """,
+)
+def maintained_summary(t: Tables) -> DataFrame:
+    """Stored sums by priority and year after a batch that deletes orders and moves others to another group."""
+    orders = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("priority"), F.year("o_orderdate").alias("order_year"), money("o_totalprice").alias("amount"))
+    groups, values = ["priority", "order_year"], {"amount": "amount"}
+    stored = summaries.summarise(orders, groups, values)
+    keys = orders.where(_CHANGED_ORDERS).select("o_orderkey")
+    moved = orders.where("o_orderkey % 13 = 0").withColumns({"priority": F.lit("5-LOW"), "amount": (F.col("amount") + 1).cast("decimal(18,2)")})
+    delta = summaries.batch_delta(summaries.replaced_rows(orders, keys, "o_orderkey"), moved, groups, values)
+    after = summaries.apply_delta(stored, delta, groups, values)
+    return summaries.totals(after, groups, values).select(*groups, "n_rows", "amount")
+
+
+def _numbered_days(rows: DataFrame) -> DataFrame:
+    """Every order day of a customer as a version that holds until the next, numbered from 1."""
+    days = rows.select("o_custkey", "day").distinct()
+    return sequences.with_position(sequences.validity(days, "o_custkey", "day"), "o_custkey", "day", "version")
+
+
+@query(
+    "stale_versions",
+    """
+    WITH a AS (SELECT o_custkey, day, row_number() OVER w AS version, coalesce(lead(day) OVER w - 1, DATE '9999-12-31') AS valid_to
+               FROM (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders) WINDOW w AS (PARTITION BY o_custkey ORDER BY day)),
+    b AS (SELECT o_custkey, day, row_number() OVER w AS version, coalesce(lead(day) OVER w - 1, DATE '9999-12-31') AS valid_to
+          FROM (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderkey % 29 <> 0) WINDOW w AS (PARTITION BY o_custkey ORDER BY day))
+    SELECT o_orderkey, o.o_custkey FROM orders o
+    LEFT JOIN a ON a.o_custkey = o.o_custkey AND CAST(o_orderdate AS DATE) BETWEEN a.day AND a.valid_to
+    LEFT JOIN b ON b.o_custkey = o.o_custkey AND CAST(o_orderdate AS DATE) BETWEEN b.day AND b.valid_to
+    WHERE a.version IS DISTINCT FROM b.version
+    """,
+)
+def stale_versions(t: Tables) -> DataFrame:
+    """Orders that late rows of their customer moved to another version number."""
+    rows = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
+    before, after = _numbered_days(rows.where("o_orderkey % 29 <> 0")), _numbered_days(rows)
+    changed = histories.changed_ranges(before, after, "o_custkey", "day", "valid_to", "version")
+    return histories.stale_facts(rows, changed, "o_custkey", "day").select("o_orderkey", "o_custkey")

@@ -11,6 +11,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,6 +130,14 @@ def bronze_scan(spark: SparkSession, bronze: str, folder: str, schema=None) -> D
     return reader.parquet(f"{root}/load_id=*").withColumn("load_id", F.col("load_id").cast("string"))
 
 
+def _literal(value: object) -> str:
+    """A key as SQL text: numbers bare, everything else in quotes (dates and times in ISO form)."""
+    if isinstance(value, (int, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    text = value.isoformat(sep=" ") if isinstance(value, datetime) else str(value)
+    return "'" + text.replace("'", "''") + "'"
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Reads contract tables over JDBC, large ones through several connections.
@@ -136,6 +145,10 @@ class JdbcSource:
     ``splits`` names, per source table, the number of connections; their ranges lie on the table's key, which
     must then be a number or date. The key's bounds and the newest change are asked for as one-row queries, so
     neither reads the table. ``options`` go to every read (driver, credentials).
+
+    With ``by_count`` the ranges hold equal numbers of rows, however uneven the keys: one query over the key's index
+    gives their first keys, the reads get them as predicates, and keys of any type will do. Without it the span from
+    the smallest to the largest key is cut into equal widths, for sources that know no window functions.
     """
 
     spark: SparkSession
@@ -143,6 +156,7 @@ class JdbcSource:
     splits: Mapping[str, int] = field(default_factory=dict)
     fetch_rows: int = ROWS_PER_FILE // 50
     options: Mapping[str, str] = field(default_factory=dict)
+    by_count: bool = True
 
     def settings(self, table: str) -> dict[str, str]:
         """Options of one read. ``table`` is a name or a query in brackets with an alias."""
@@ -161,6 +175,21 @@ class JdbcSource:
     def edges_query(contract: Contract) -> str:
         return f"(SELECT MIN({contract.key}) AS low, MAX({contract.key}) AS high FROM {contract.source}) edges"
 
+    @staticmethod
+    def firsts_query(contract: Contract, parts: int) -> str:
+        """The first key of each of ``parts`` ranges of equally many rows, as rows of a query in brackets."""
+        numbered = f"SELECT {contract.key} AS k, NTILE({parts}) OVER (ORDER BY {contract.key}) AS part FROM {contract.source} WHERE {contract.key} IS NOT NULL"
+        return f"(SELECT part, MIN(k) AS first_key FROM ({numbered}) numbered GROUP BY part) firsts"
+
+    @staticmethod
+    def predicates(key: str, firsts: Sequence) -> list[str]:
+        """Conditions of which every row satisfies exactly one, NULL keys the first. ``firsts`` ascend and may repeat."""
+        cuts = [_literal(k) for k in dict.fromkeys(firsts)][1:]
+        if not cuts:
+            return ["1 = 1"]
+        inner = [f"{key} >= {lo} AND {key} < {hi}" for lo, hi in zip(cuts, cuts[1:])]
+        return [f"{key} < {cuts[0]} OR {key} IS NULL", *inner, f"{key} >= {cuts[-1]}"]
+
     @staticmethod
     def newest_query(contract: Contract) -> str:
         return f"(SELECT MAX({contract.watermark}) AS newest FROM {contract.source}) newest"
@@ -171,8 +200,16 @@ class JdbcSource:
     def newest(self, contract: Contract) -> datetime | None:
         return self._load(self.settings(self.newest_query(contract))).first()[0]
 
+    def by_predicates(self, contract: Contract, parts: int) -> DataFrame:
+        firsts = self._load(self.settings(self.firsts_query(contract, parts))).select("part", "first_key").collect()
+        where = self.predicates(contract.key, [r.first_key for r in sorted(firsts, key=lambda r: r.part)])
+        properties = {k: v for k, v in self.settings(contract.source).items() if k not in ("url", "dbtable")}
+        return self.spark.read.jdbc(self.url, contract.source, predicates=where, properties=properties)
+
     def __call__(self, contract: Contract) -> DataFrame:
         low = high = None
+        if self.by_count and self.splits.get(contract.source, 1) > 1:
+            return self.by_predicates(contract, self.splits[contract.source])
         if self.splits.get(contract.source, 1) > 1:
             low, high = self._load(self.settings(self.edges_query(contract))).first()
         return self._load(self.ranged(contract, low, high))

@@ -103,6 +103,34 @@ def test_old_rows_of_a_backfill_reach_the_fact(spark, tmp_path):
     assert spark.read.parquet(layout.mart("fct_payroll_movement")).where("movement_id = 99").count() == 1
 
 
+def test_late_history_reaches_older_facts(spark, tmp_path, cut_commits):
+    """A corrected pay of old renumbers the versions after it; movements long past the lookback get the new ones."""
+    layout, source = build.Layout(str(tmp_path)), Source()
+    store = WatermarkStore(spark, layout.state)
+
+    def staged(load):
+        bronze.run_extract(spark, source.reader(spark), layout.bronze, store, load_id=load)
+        return build.staged_relations(spark, layout)
+
+    fact = lambda: rows(spark.read.parquet(layout.mart("fct_payroll_movement")))
+    source.put(MOVEMENT, (10, 3, 205, 3, money(900)), at=datetime(2025, 3, 1))
+    build.build_marts(spark, layout, staged("L1"))
+    first = fact()
+    source.put(MOVEMENT, (2, 1, 202, 3, money(1100)), at=datetime(2025, 4, 1))
+    s = staged("L2")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(build, "build_movement_fact", lambda *a: None)
+        build.build_marts(spark, layout, s)  # the dimension is new, the fact is not yet
+    cut_commits(lambda: build.build_movement_fact(spark, layout, s))
+    build.build_movement_fact(spark, layout, s)
+    repaired = fact()
+    kept = [n for n in files.children(spark, f"{layout.root}/marts") if "_versions-" in n]
+    build.build_movement_fact(spark, layout, s, full=True)
+    assert repaired == fact() and len(kept) == 1
+    old = {r[0]: r[1] for r in first}
+    assert {r[0] for r in repaired if r[1] != old[r[0]]} == {2, 3, 4, 5}
+
+
 def test_repeated_run_id_keeps_both_closed_versions(spark, tmp_path):
     path, schema = str(tmp_path / "s"), "id int, updated timestamp_ntz"
     t1, t2 = datetime(2025, 1, 1), datetime(2025, 1, 2)

@@ -295,3 +295,25 @@ def test_the_source_is_asked_for_its_newest_change(spark, place):
     reader = Asked()
     assert bronze.run_extract(spark, reader, *place, contracts=[MOVEMENT], load_id="L1").first().n_rows == 10
     assert reader.asked == 1
+
+
+def test_ranges_of_equal_counts_are_complete_and_disjoint(spark):
+    """Keys with a wide gap and a NULL: each range has its share of rows, and every row falls into one."""
+    source = bronze.JdbcSource(None, "jdbc:x", {MOVEMENT.source: 4})
+    keys = [*range(1000), *range(10**9, 10**9 + 1000), None]
+    spark.createDataFrame([(k,) for k in keys], "MovementId long").createOrReplaceTempView("gappy_keys")
+    asked = source.firsts_query(MOVEMENT, 4).replace(MOVEMENT.source, "gappy_keys")
+    firsts = spark.sql(f"SELECT * FROM {asked}").orderBy("part")
+    where = source.predicates("MovementId", [r.first_key for r in firsts.collect()])
+    found = [spark.table("gappy_keys").where(p).count() for p in where]
+    assert found == [501, 500, 500, 500]  # the NULL is in the first
+    spark.catalog.dropTempView("gappy_keys")
+
+
+def test_predicates_of_keys():
+    of = bronze.JdbcSource.predicates
+    assert of("k", []) == of("k", [7]) == of("k", [7, 7]) == ["1 = 1"]
+    assert of("k", [1, 5, 5, 9]) == ["k < 5 OR k IS NULL", "k >= 5 AND k < 9", "k >= 9"]
+    assert of("k", ["a", "o'b"]) == ["k < 'o''b' OR k IS NULL", "k >= 'o''b'"]
+    moment = datetime(2025, 1, 2, 3, 4, 5)
+    assert of("k", [moment, moment.replace(year=2026)])[1] == "k >= '2026-01-02 03:04:05'"
