@@ -1,11 +1,14 @@
 """Quality rules whose cutoffs are chosen under a guaranteed risk of rejecting good documents.
 
 Every rule is a share or mean that grows as a document gets worse. Labelled good documents, held out for
-this purpose, are grouped into strata. For each stratum, rule and cutoff of a fixed grid, the number of
-good documents beyond the cutoff is tested against the allowed rate with the exact binomial distribution;
-a cutoff is accepted if so few rejections would be seen with a probability of at most ``CONFIDENCE``,
-divided by the number of all tests made (Bonferroni), were the true rate above the allowed one. The
-strictest accepted cutoff counts. Where none is accepted the rule rejects nothing.
+this purpose, are grouped into strata. The rules are tightened one cutoff at a time in an order that is
+fixed beforehand (``STEPS``): all rules from off to their laxest cutoff, then all to the next, and so on. For
+each stratum and step, the number of good documents that any rule rejects is tested against the allowed rate
+with the exact binomial distribution: the step is accepted if so few rejections would be seen with a
+probability of at most ``CONFIDENCE``, divided by the number of strata (Bonferroni), were the true rate the
+allowed one or above. Within a stratum the steps are a fixed sequence that ends at the first step not
+accepted, which needs no further correction. The last accepted step gives the cutoffs of the stratum; where
+the first one fails, no rule rejects anything there.
 
 All of it is DataFrame operations; nothing runs in Python.
 """
@@ -45,6 +48,14 @@ RULES = (
     Rule("word_length", "word_chars / n_words", (7.0, 8.0, 9.0, 10.0, 12.0, 15.0, 20.0)),
 )
 
+#: The order in which the rules are tightened: each step gives one rule its next cutoff.
+STEPS = tuple((r.name, r.cutoffs[-1 - d]) for d in range(max(len(r.cutoffs) for r in RULES)) for r in RULES if d < len(r.cutoffs))
+
+
+def vectors() -> list[dict[str, float]]:
+    """The cutoffs in force after each step; a rule that is still off is missing."""
+    return [dict(STEPS[: i + 1]) for i in range(len(STEPS))]
+
 
 # --- what is measured -------------------------------------------------------------------------
 
@@ -133,46 +144,51 @@ def binomial_tail(n: str, k: str, rate: float) -> str:
     return f"{first} * {sums}"
 
 
+def first_step() -> str:
+    """The step at which a document is rejected first, one more than there are if none rejects it."""
+    number = {step: i + 1 for i, step in enumerate(STEPS)}
+    each = [
+        "CASE " + " ".join(f"WHEN {_value(r)} > {c}D THEN {number[r.name, c]}" for c in reversed(r.cutoffs)) + f" ELSE {len(STEPS) + 1} END"
+        for r in RULES
+    ]
+    return f"least({', '.join(each)})"
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, *, risk: float = RISK, confidence: float = CONFIDENCE) -> DataFrame:
-    """One row per stratum with the accepted cutoff of each rule (null: the rule rejects nothing there).
+    """One row per stratum with an accepted step: the cutoff of each rule there (null: the rule rejects nothing).
 
     ``labels`` has ``doc_id`` and ``quality``; of several labels of one document the worst counts. Good documents
     that the base rules reject anyway take no part. The counts are partial sums: one row per task and stratum.
+    ``n`` and ``k`` are the good documents of the stratum and how many of them the cutoffs reject. A stratum
+    without good labels, or an empty table, has no row.
     """
-    rate = risk / len(RULES)
     good = labels.groupBy(F.col("doc_id").alias("key")).agg(F.min("quality").alias("quality")).where("quality = 1").select("key")
-    held = measured.where(~F.col("base_failed")).join(good, "key")
-    sums = [
-        F.sum(F.expr(f"CAST({_value(r)} > {c}D AS bigint)")).alias(f"{r.name}_{i}") for r in RULES for i, c in enumerate(r.cutoffs)
-    ]
+    held = measured.where(~F.col("base_failed")).join(good, "key").select("stratum", F.expr(first_step()).alias("first"))
+    sums = [F.sum((F.col("first") <= i + 1).cast("long")).alias(f"k_{i}") for i in range(len(STEPS))]
     seen = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *sums)
     # One row per stratum from here on.
-    n_tests = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))) * sum(len(r.cutoffs) for r in RULES)
-    seen = seen.withColumn("made", n_tests)
-    tests = seen.select(
-        "stratum",
-        "n",
-        "made",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(r.name).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"{r.name}_{i}").alias("k"))
-                    for r in RULES
-                    for i, c in enumerate(r.cutoffs)
-                ]
+    made = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
+    steps = F.array(
+        *[
+            F.struct(
+                F.lit(i + 1).alias("step"),
+                F.col(f"k_{i}").alias("k"),
+                *[F.lit(cuts.get(r.name)).cast("double").alias(f"cut_{r.name}") for r in RULES],
             )
-        ),
+            for i, cuts in enumerate(vectors())
+        ]
     )
-    allowed = tests.where(F.col("k") < F.col("n") * rate).withColumn("p", F.expr(binomial_tail("n", "k", rate)))
+    tests = seen.withColumn("made", made).select("stratum", "n", "made", F.inline(steps))
+    allowed = tests.where(F.col("k") < F.col("n") * risk).withColumn("p", F.expr(binomial_tail("n", "k", risk)))
+    # k never falls from one step to the next, nor does p: the last accepted step has none before it that fails.
     accepted = allowed.where(F.col("p") <= confidence / F.col("made"))
-    return accepted.groupBy("stratum").agg(
-        *[F.min(F.when(F.col("rule") == r.name, F.col("cutoff"))).alias(f"cut_{r.name}") for r in RULES]
-    )
+    last = F.max(F.struct("step", "k", *[f"cut_{r.name}" for r in RULES])).alias("last")
+    return accepted.groupBy("stratum", "n").agg(last).select("stratum", "n", "last.*")
 
 
 def judge(measured: DataFrame, cuts: DataFrame) -> DataFrame:
     """``measured`` with ``kept``: false where the base rules or an accepted cutoff of the stratum reject."""
-    met = measured.join(cuts, "stratum", "left")
+    met = measured.join(cuts.drop("n", "k", "step"), "stratum", "left")
     beyond = " OR ".join(f"coalesce({_value(r)} > cut_{r.name}, false)" for r in RULES)
     return met.withColumn("kept", F.expr(f"NOT base_failed AND NOT ({beyond})"))
 
@@ -188,12 +204,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     blank = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-    tests = ", ".join(f"('{r.name}', CAST({c} AS DOUBLE))" for r in RULES for c in r.cutoffs)
-    values = {r.name: _value(r).replace("0D", "0") for r in RULES}
-    value = "CASE g.rule " + " ".join(f"WHEN '{n}' THEN {v}" for n, v in values.items()) + " END"
-    beyond = " OR ".join(f"coalesce({v} > cut_{n}, false)" for n, v in values.items())
-    rate = RISK / len(RULES)
-    cuts = ", ".join(f"min(cutoff) FILTER (WHERE rule = '{r.name}') AS cut_{r.name}" for r in RULES)
+    def row(i: int, cuts: dict[str, float]) -> str:
+        return f"({i}, " + ", ".join(f"CAST({cuts.get(r.name, 'NULL')} AS DOUBLE)" for r in RULES) + ")"
+
+    steps = ", ".join(row(i + 1, cuts) for i, cuts in enumerate(vectors()))
+    names = ", ".join(f"cut_{r.name}" for r in RULES)
+    beyond = " OR ".join(f"coalesce({_value(r).replace('0D', '0')} > cut_{r.name}, false)" for r in RULES)
     return f"""
 WITH body AS (
   SELECT row_number() OVER () AS rn, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS body FROM documents
@@ -222,20 +238,21 @@ WITH body AS (
   FROM counted c LEFT JOIN covered v USING (rn)
 ), good AS (
   SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1
-), grid(rule, cutoff) AS (VALUES {tests}
+), steps(step, {names}) AS (VALUES {steps}
 ), seen AS (
-  SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (WHERE {value} > cutoff) AS k
-  FROM measured m SEMI JOIN good USING (doc_id), grid g WHERE NOT base_failed GROUP BY ALL
+  SELECT stratum, step, count(*) AS n, count(*) FILTER (WHERE {beyond}) AS k
+  FROM measured m SEMI JOIN good USING (doc_id), steps WHERE NOT base_failed GROUP BY ALL
 ), tested AS (
-  SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-         + i * ln({rate}) + (n - i) * ln({1 - rate})))) AS p, (SELECT count(*) FROM seen) AS made
-  FROM seen WHERE k < n * {rate}
+  SELECT *, k < n * {RISK} AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1)
+         - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln({1 - RISK})))) <= {CONFIDENCE} / (SELECT count(DISTINCT stratum) FROM seen) AS holds
+  FROM seen
 ), cuts AS (
-  SELECT stratum, {cuts} FROM tested WHERE p <= {CONFIDENCE} / made GROUP BY stratum
+  SELECT stratum, max(step) AS step
+  FROM (SELECT *, bool_and(holds) OVER (PARTITION BY stratum ORDER BY step) AS so_far FROM tested) WHERE so_far GROUP BY stratum
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT ({beyond}) AS kept
-FROM measured LEFT JOIN cuts USING (stratum)
+FROM measured LEFT JOIN cuts USING (stratum) LEFT JOIN steps USING (step)
 """
 
 
