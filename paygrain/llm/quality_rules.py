@@ -71,6 +71,7 @@ def measures(docs: DataFrame, *, key: str = "doc_id", text: str = "text", stratu
 
     No shuffle. Windows of three words are compared by 64-bit hashes within one text, sorted in place, so the
     work grows as n log n of a text's length. A null text counts as empty. Null keys and repeated rows are kept.
+    Ties do not arise, an empty table gives an empty one, and further columns are left out.
     """
     body = docs.select(F.col(key).alias("key"), F.coalesce(stratum, F.lit("")).alias("stratum"), F.coalesce(text, F.lit("")).alias("body"))
     inner = F.trim("body", F.lit(BLANKS))
