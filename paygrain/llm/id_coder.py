@@ -15,17 +15,21 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 
 BLOCK = 2048
 LANES = 2048  # blocks coded together
-MAGIC = b"PGID\x01"
+MAGIC = b"PGID\x02"
 _TABLE = 512  # entries of either prediction table of a block
-#: Trust in a prediction is a 12-bit probability, kept away from 0 and 1.
-_BITS, _HALF, _LEAST, _SPREAD = np.uint64(12), 2048, 24, 4096 - 48
-_BOTTOM, _U32 = np.uint64(1 << 32), np.uint64(32)
+#: Trust in a prediction is a 12-bit probability, kept between 31 and 4,032, so that what is left of a span never vanishes.
+_HALF, _BITS, _RATE = 2048, np.uint64(12), np.uint64(5)
+#: Two trusts in one number: the bits of both and what a right prediction adds.
+_FIELD, _LOWER = np.uint64(16), np.uint64(0xFFFF)
+_OF_TWO, _OF_BOTH = np.uint64(0x7F << 16), np.uint64(0x7F << 16 | 0x7F)
+_GAIN_TWO, _GAIN_ONE, _ONE = np.uint64(126 << 16), np.uint64(126), np.uint64(1)
+_BOTTOM, _U32, _HALF_WORD = np.uint64(1 << 32), np.uint64(32), np.uint64((1 << 32) - 1)
 
 
 class Damaged(ValueError):
@@ -43,134 +47,207 @@ def _frequencies(counts: np.ndarray) -> tuple[np.ndarray, int]:
     return out, scale
 
 
-class _Mixer:
-    """Adaptive state of all blocks, shared by encoder and decoder."""
+class _Table:
+    """Per block the last id after each context, and how often it came in a row: the predictions of one order."""
 
     def __init__(self, lanes: int, n_symbols: int) -> None:
-        self.table_at = np.arange(lanes) * _TABLE
-        self.state_at = np.arange(lanes) * 16
-        self.one = np.full(lanes * _TABLE, n_symbols << 2, np.int64)
-        self.two = self.one.copy()
-        self.trust_two = np.full(lanes * 16, _HALF >> 1, np.int64)
-        self.trust_one = self.trust_two.copy()
-        self.at_one = self.at_two = self.table_at
-        self.hash_one = np.zeros(lanes, np.int64)
-
-    def predict(self, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.lane = np.arange(lanes) * _TABLE
+        self.entries = np.full(lanes * _TABLE, n_symbols << 2, np.int32)
+        self.at = self.lane.copy()
+        self.entry, self.predicted, self.fresh = (np.empty(lanes, np.int32) for _ in range(3))
+
+    def look(self) -> np.ndarray:
+        """The predicted symbols."""
+        self.entries.take(self.at, out=self.entry, mode="clip")
+        return np.right_shift(self.entry, 2, out=self.predicted)
+
+    def learn(self, symbol: np.ndarray, right: np.ndarray, context: np.ndarray) -> None:
+        """Note what came; ``right``: blocks where it was predicted. Then go to the next context (a hash)."""
+        fresh = np.left_shift(symbol, 2, out=self.fresh)
+        known = self.entry[right]
+        fresh[right] = known + ((known & 3) < 3)
+        self.entries[self.at] = fresh
+        np.bitwise_and(context, _TABLE - 1, out=self.at)
+        self.at += self.lane
+
+
+def _orders(lanes: int, n_symbols: int) -> tuple[_Table, _Table, np.ndarray, np.ndarray]:
+    return _Table(lanes, n_symbols), _Table(lanes, n_symbols), np.zeros(lanes, np.int64), np.empty(lanes, np.int64)
+
+
+def _contexts(symbol: np.ndarray, before: np.ndarray, hashed: np.ndarray) -> None:
+    """The hash of the last id into ``hashed``, that of the last two into ``before``, which held that of the one before."""
+    np.multiply(symbol, 40503, out=hashed, dtype=np.int64)
+    hashed >>= 4
+    before *= 29
+    before ^= hashed
+
+
+class _Trust:
+    """How far either prediction is trusted, learned per block and pair of confidences."""
+
+    def __init__(self, lanes: int) -> None:
+        self.lane = np.arange(lanes) * 16
+        #: Trust in order 2 (upper half) and, where that is wrong, in order 1.
+        self.states = np.full(lanes * 16, _HALF >> 1 << 16 | _HALF >> 1, np.uint64)
+        self.row = np.empty(lanes, np.int64)
+        self.t, self.u, self.first, self.second = (np.empty(lanes, np.uint64) for _ in range(4))
+
+    def cut(self, span: np.ndarray, confidence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cut the span: below the first bound lies the prediction of order 2, up to the second that of order 1."""
-        self.e1, self.e2 = self.one[self.at_one], self.two[self.at_two]
-        self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
-        self.row = self.state_at + ((self.e2 & 3) << 2 | self.e1 & 3)
-        self.t2, self.t1 = self.trust_two[self.row], self.trust_one[self.row]
-        first = (span >> _BITS) * self.t2.view(np.uint64)
-        return first, first + ((span - first) >> _BITS) * self.t1.view(np.uint64)
-
-    def learn(self, symbol: np.ndarray, two: np.ndarray, one: np.ndarray) -> None:
-        """``one``: order 1 was right where order 2 was not."""
-        self.trust_two[self.row] = self.t2 + (((two * _SPREAD) + _LEAST - self.t2) >> 5)
-        self.trust_one[self.row] = self.t1 + ((((one * _SPREAD) + _LEAST - self.t1) >> 5) * ~two)
-        fresh = symbol << 2
-        self.one[self.at_one] = np.where(self.p1 == symbol, np.minimum(self.e1 + 1, fresh + 3), fresh)
-        self.two[self.at_two] = np.where(self.p2 == symbol, np.minimum(self.e2 + 1, fresh + 3), fresh)
-        hashed = symbol * 40503 >> 4
-        self.at_one = self.table_at + (hashed & (_TABLE - 1))
-        self.at_two = self.table_at + ((hashed ^ self.hash_one * 29) & (_TABLE - 1))
-        self.hash_one = hashed
-
-
-def _renormalise(low: np.ndarray, span: np.ndarray, move: Callable[[np.ndarray], None]) -> None:
-    """Shift out 32 bits where the span has shrunk below as much. Where they are not settled yet, cut the span so that they are."""
-    at = np.flatnonzero(span < _BOTTOM)
-    if len(at):
-        lo, sp = low[at], span[at]
-        left = (~lo + np.uint64(1)) & (_BOTTOM - np.uint64(1))  # as far as the upper 32 bits stay what they are
-        move(at)
-        low[at] = lo << _U32
-        span[at] = np.where((left > 0) & (left < sp), left, sp) << _U32
+        t, u, first, second = self.t, self.u, self.first, self.second
+        np.add(self.lane, confidence, out=self.row)
+        self.states.take(self.row, out=t, mode="clip")
+        np.right_shift(span, _BITS, out=first)
+        first *= np.right_shift(t, _FIELD, out=u)
+        np.subtract(span, first, out=second)
+        second >>= _BITS
+        second *= np.bitwise_and(t, _LOWER, out=u)
+        second += first
+        return first, second
+
+    def learn(self, two: np.ndarray, one: np.ndarray) -> None:
+        """Blocks where order 2 was right, and where order 1 was.
+
+        Each trust loses a part of itself, and gains as much of the whole if right. Order 1 is not asked where order 2 is right.
+        """
+        t, u = self.t, self.u
+        np.right_shift(t, _RATE, out=u)
+        u &= _OF_BOTH
+        u[one] -= _GAIN_ONE
+        u[two] = (t[two] >> _RATE & _OF_TWO) - _GAIN_TWO
+        t -= u
+        self.states[self.row] = t
+
+
+def _places(freq: np.ndarray) -> np.ndarray:
+    """Per symbol the sum of the frequencies before it (upper half) and its own."""
+    return ((np.cumsum(freq) - freq) << 32 | freq).astype(np.uint64)
 
 
 def _encode_lanes(grid: np.ndarray, freq: np.ndarray, scale: int) -> list[bytes]:
     """Code the rows of ``grid`` (symbols), one byte string each."""
     lanes, steps = grid.shape
-    weight, shift = freq.astype(np.uint64), np.uint64(scale)
-    below = np.cumsum(weight) - weight
-    mixer = _Mixer(lanes, len(freq))
+    rows = np.ascontiguousarray(grid.T)
+    # The predictions do not depend on the code: first what all of them are worth.
+    order_1, order_2, before, hashed = _orders(lanes, len(freq))
+    confidence, hits = np.empty((steps, lanes), np.uint8), []
+    for symbol, mixed in zip(rows, confidence, strict=True):
+        two, one = np.flatnonzero(order_2.look() == symbol), np.flatnonzero(order_1.look() == symbol)
+        np.bitwise_or((order_2.entry & 3) << 2, order_1.entry & 3, out=mixed, casting="unsafe")
+        _contexts(symbol, before, hashed)
+        order_2.learn(symbol, two, before)
+        order_1.learn(symbol, one, hashed)
+        before, hashed = hashed, before
+        hits.append((two.astype(np.int32), one.astype(np.int32)))
+    shift, place = np.uint64(scale), _places(freq)
+    trust = _Trust(lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    words = np.zeros((lanes, steps // 2 + 64), np.uint32)
-    used = np.zeros(lanes, np.int64)
+    words = np.zeros((lanes, steps // 2 + 64), np.uint64)  # of 32 bits, and what was carried into them
+    flat, row_at, used = words.ravel(), np.arange(lanes) * words.shape[1], np.zeros(lanes, np.int64)
+    from_, part, own = (np.empty(lanes, np.uint64) for _ in range(3))
 
     def move(at: np.ndarray) -> None:
-        nonlocal words
-        place = used[at]
-        if place.max() >= words.shape[1]:
+        nonlocal words, flat, row_at
+        here = used[at]
+        if len(here) and here.max() >= words.shape[1]:
             words = np.concatenate((words, np.zeros_like(words)), axis=1)
-        words[at, place] = low[at] >> _U32
-        used[at] = place + 1
-
-    for symbol in np.ascontiguousarray(grid.T):
-        first, second = mixer.predict(span)
-        two = symbol == mixer.p2
-        one = (symbol == mixer.p1) & ~two
-        rest = np.flatnonzero(~(two | one))
-        from_ = np.where(one, first, second)
+            flat, row_at = words.ravel(), np.arange(lanes) * words.shape[1]
+        lo = low[at]
+        flat[row_at[at] + here] = lo >> _U32
+        used[at] = here + 1
+        low[at] = lo << _U32
+
+    for symbol, mixed, (two, one) in zip(rows, confidence, hits, strict=True):
+        first, second = trust.cut(span, mixed)
+        np.subtract(span, second, out=part)
+        part >>= shift
+        place.take(symbol, out=own, mode="clip")
+        np.right_shift(own, _U32, out=from_)
+        from_ *= part
+        from_ += second
+        own &= _HALF_WORD
+        part *= own
+        from_[one] = first[one]
+        part[one] = second[one] - first[one]
         from_[two] = 0
-        span = np.where(two, first, np.where(one, second - first, span - second))
+        part[two] = first[two]
+        part, span = span, part
         low += from_
-        own = symbol[rest]
-        part = span[rest] >> shift
-        low[rest] += part * below[own]
-        span[rest] = part * weight[own]
-        mixer.learn(symbol, two, one)
-        _renormalise(low, span, move)
+        over = np.flatnonzero(low < from_)
+        if len(over):
+            flat[row_at[over] + used[over] - 1] += _ONE
+        trust.learn(two, one)
+        at = np.flatnonzero(span < _BOTTOM)
+        if len(at):
+            move(at)
+            span[at] <<= _U32
     every = np.arange(lanes)
     for _ in range(2):
         move(every)
-        low <<= _U32
-    return [words[i, : used[i]].astype(">u4").tobytes() for i in range(lanes)]
+    for i in range(int(used.max()) - 1, 0, -1):
+        words[:, i - 1] += words[:, i] >> _U32
+    return [words[i, : used[i]].astype(np.uint32).astype(">u4").tobytes() for i in range(lanes)]
 
 
 def _decode_lanes(coded: Sequence[bytes], steps: int, freq: np.ndarray, scale: int) -> np.ndarray:
     lanes = len(coded)
-    weight, shift = freq.astype(np.uint64), np.uint64(scale)
-    below = np.cumsum(weight) - weight
-    symbol_of = np.repeat(np.arange(len(freq)), freq)
+    shift, place = np.uint64(scale), _places(freq)
+    symbol_of = np.repeat(np.arange(len(freq), dtype=np.int32), freq)
     last_part = np.uint64((1 << scale) - 1)
-    mixer = _Mixer(lanes, len(freq))
-    sizes = np.array([len(c) // 4 for c in coded])
-    words = np.zeros((lanes, sizes.max(initial=0) + 2), np.uint32)
-    for i, c in enumerate(coded):
-        words[i, : sizes[i]] = np.frombuffer(c, ">u4", sizes[i])
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    code = words[:, 0].astype(np.uint64) << _U32 | words[:, 1]
-    used = np.full(lanes, 2)
-    limit = words.shape[1] - 1
-
-    def move(at: np.ndarray) -> None:
-        place = used[at]
-        code[at] = code[at] << _U32 | words[at, np.minimum(place, limit)]
-        used[at] = place + 1
-
-    grid = np.empty((steps, lanes), np.int64)
-    for t in range(steps):
-        first, second = mixer.predict(span)
-        ahead = code - low
-        two = ahead < first
-        hit = ahead < second
-        one = hit & ~two
-        rest = np.flatnonzero(~hit)
-        from_ = np.where(one, first, second)
+    order_1, order_2, before, hashed = _orders(lanes, len(freq))
+    trust = _Trust(lanes)
+    sizes = np.array([len(c) // 4 for c in coded]) + 2  # zeros behind each, for what is damaged
+    words = np.frombuffer(b"".join(x for c in coded for x in (c[: len(c) // 4 * 4], bytes(8))), ">u4").astype(np.uint64)
+    limit = np.cumsum(sizes) - 1
+    at_word = limit + 1 - sizes
+    span = np.full(lanes, (1 << 64) - 1, np.uint64)
+    ahead = words[at_word] << _U32 | words[at_word + 1]  # how far the code is above the low end of the span
+    at_word += 2
+    from_, part, own = (np.empty(lanes, np.uint64) for _ in range(3))
+    mixed = np.empty(lanes, np.int32)
+    grid = np.empty((steps, lanes), np.int32)
+    for symbol in grid:
+        order_2.look()
+        order_1.look()
+        np.bitwise_and(order_2.entry, 3, out=mixed)
+        mixed <<= 2
+        mixed |= order_1.entry & 3
+        first, second = trust.cut(span, mixed)
+        two, hit = np.flatnonzero(ahead < first), np.flatnonzero(ahead < second)
+        np.subtract(span, second, out=part)
+        part >>= shift
+        np.subtract(ahead, second, out=own)
+        own //= part
+        np.minimum(own, last_part, out=own)
+        symbol_of.take(own.view(np.int64), out=symbol, mode="clip")
+        place.take(symbol, out=own, mode="clip")
+        np.right_shift(own, _U32, out=from_)
+        from_ *= part
+        from_ += second
+        own &= _HALF_WORD
+        part *= own
+        symbol[hit] = order_1.predicted[hit]
+        from_[hit] = first[hit]
+        part[hit] = second[hit] - first[hit]
+        symbol[two] = order_2.predicted[two]
         from_[two] = 0
-        span = np.where(two, first, np.where(one, second - first, span - second))
-        low += from_
-        symbol = np.where(two, mixer.p2, mixer.p1)
-        part = np.maximum(span[rest] >> shift, np.uint64(1))
-        own = symbol_of[np.minimum((ahead[rest] - second[rest]) // part, last_part)]
-        symbol[rest] = own
-        low[rest] += part * below[own]
-        span[rest] = part * weight[own]
-        grid[t] = symbol
-        mixer.learn(symbol, two, one)
-        _renormalise(low, span, move)
+        part[two] = first[two]
+        part, span = span, part
+        ahead -= from_
+        one = np.flatnonzero(order_1.predicted == symbol)
+        two = np.flatnonzero(order_2.predicted == symbol)
+        trust.learn(two, one)
+        _contexts(symbol, before, hashed)
+        order_2.learn(symbol, two, before)
+        order_1.learn(symbol, one, hashed)
+        before, hashed = hashed, before
+        at = np.flatnonzero(span < _BOTTOM)
+        if len(at):
+            span[at] <<= _U32
+            here = at_word[at]
+            ahead[at] = ahead[at] << _U32 | words[np.minimum(here, limit[at])]
+            at_word[at] = here + 1
     return np.minimum(grid.T, len(freq) - 1)  # beyond that only if the input is damaged
 
 
@@ -198,7 +275,7 @@ def encode_segment(keys: Sequence[int | None], lengths: Sequence[int], ids: np.n
     checks = [zlib.crc32(ids[i * BLOCK : (i + 1) * BLOCK]) for i in range(blocks)]
     coded: list[bytes] = []
     if blocks:
-        grid = np.zeros(blocks * BLOCK, np.int64)
+        grid = np.zeros(blocks * BLOCK, np.int32)
         grid[: len(ids)] = symbols
         grid = grid.reshape(blocks, BLOCK)
         freq, scale = _frequencies(counts)
