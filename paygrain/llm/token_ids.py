@@ -26,18 +26,18 @@ from paygrain.session import scratch_path
 
 from .common import binary, sliced, table
 from .id_coder import BLOCK, LANES, decode_segment, encode_segment
-from .pretokens import distinct, spread
+from .pretokens import spread
 
 END = 0
 #: A segment is closed by the document that brings it to so many ids.
 SEGMENT_IDS = BLOCK * LANES
 #: Pieces a worker remembers, and up to which length. Results do not depend on it.
-PIECES, LONGEST_REMEMBERED = 600_000, 40
+PIECES, LONGEST_REMEMBERED = 900_000, 40
 #: Bytes of text whose pieces are compared at once, unless they are longer than that each; new pieces a call of the library gets.
 TEXT_BLOCK, _LONGEST_COMPARED, _TOGETHER = 1 << 23, 1 << 12, 256
 
 
-def _kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _kinds() -> tuple[bytes, bytes, bytes]:
     """By byte: 1, 2, 3 for a letter, number or sign of ASCII, apart from the apostrophe; is it ASCII white space; does it begin a visible character?"""
     signs = np.zeros(256, np.uint8)
     signs[0x21:0x7F] = 3
@@ -51,10 +51,10 @@ def _kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         visible[low:high] = True
     blank = np.zeros(256, bool)
     blank[[9, 10, 11, 12, 13, 32]] = True
-    return signs, blank, visible
+    return signs.tobytes(), blank.tobytes(), visible.tobytes()
 
 
-_SIGNS, _BLANK, _VISIBLE = _kinds()
+_SIGNS, _BLANK, _VISIBLE = _kinds()  # for bytes.translate
 
 
 def _piece_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -69,7 +69,8 @@ def _piece_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
         high = min(low + TEXT_BLOCK, len(data))
         around = np.zeros(high - low + 2, np.uint8)
         around[low == 0 : high - low + 1 + (high < len(data))] = data[max(0, low - 1) : high + 1]
-        kind, blank, visible = _SIGNS[around], _BLANK[around], _VISIBLE[around]
+        raw = around.tobytes()
+        kind, blank, visible = (np.frombuffer(raw.translate(x), t) for x, t in ((_SIGNS, np.uint8), (_BLANK, bool), (_VISIBLE, bool)))
         found = (kind[1:-1] != kind[:-2]) & (kind[1:-1] > 0) & (kind[:-2] > 0)
         found |= blank[:-2] & (around[:-2] != 32) & visible[1:-1]
         found |= blank[1:-1] & visible[2:] & ~starts[low + 1 : high + 1]
@@ -77,10 +78,32 @@ def _piece_starts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts[:-1])
 
 
-def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """Stretches of ``data`` of these sizes, one after the other."""
-    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+def _stretches(data: np.ndarray, edges: np.ndarray, known: np.ndarray | None = None) -> pa.Array:
+    """What lies between neighbouring edges of ``data``; nulls where not ``known``."""
+    base = int(edges[0])
+    bits = None if known is None else pa.py_buffer(np.packbits(known, bitorder="little").tobytes())
+    offsets = np.ascontiguousarray(edges - base, np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [bits, pa.py_buffer(offsets), pa.py_buffer(data[base : int(edges[-1])])])
+
+
+def _members(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes and edges of a large_binary array."""
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), edges
+
+
+def _different(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Which different piece each one between neighbouring edges is, and these. Very long ones are not compared, each counts as different."""
+    long = np.diff(edges) > _LONGEST_COMPARED
+    if not long.any():
+        found = _stretches(data, edges).dictionary_encode()
+        return found.indices.to_numpy(), found.dictionary
+    every = _stretches(data, edges)
+    found = _stretches(data, edges, ~long).dictionary_encode()
+    which = found.indices.fill_null(0).to_numpy(zero_copy_only=False).copy()
+    which[long] = len(found.dictionary) + np.arange(int(long.sum()))
+    return which, pa.concat_arrays([found.dictionary, every.filter(pa.array(long))])
 
 
 class LibraryEncoder:
@@ -136,7 +159,7 @@ class LibraryEncoder:
         """
         sizes, first = np.diff(edges), data[edges[:-1]]
         behind = data[edges[:-1] + ((first == 32) & (sizes > 1))]
-        joined = _VISIBLE[behind] & (sizes <= _LONGEST_COMPARED) & self.plain
+        joined = np.frombuffer(behind.tobytes().translate(_VISIBLE), bool) & (sizes <= _LONGEST_COMPARED) & self.plain
         counts, found = np.zeros(len(sizes), np.int64), []
         alone = np.flatnonzero(~joined).tolist()
         joined = np.flatnonzero(joined)
@@ -162,36 +185,34 @@ class LibraryEncoder:
         return out, counts
 
     def _block(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces between neighbouring edges, and how many each has."""
-        which, stand = distinct(data, edges, _LONGEST_COMPARED)
-        begins, sizes = edges[:-1][stand], np.diff(edges)[stand]
-        pieces = _binaries(data[spread(begins, sizes)], sizes)
-        known = pa.compute.index_in(pieces, value_set=self.pieces).fill_null(-1).to_numpy(zero_copy_only=False)
-        new = np.flatnonzero(known < 0)
-        data = data[spread(begins[new], sizes[new])]
-        ids, counts = self._encoded(data, np.concatenate(([0], np.cumsum(sizes[new]))))
-        every = np.concatenate((self.ids, ids))
-        at = known.astype(np.int64)
+        """Ids of the pieces between neighbouring edges, and where the ids of each end."""
+        which, pieces = _different(data, edges)
+        at = pa.compute.index_in(pieces, value_set=self.pieces).fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        self.asked[at[at >= 0]] = True
+        new = np.flatnonzero(at < 0)
         at[new] = len(self.counts) + np.arange(len(new))
-        size = np.concatenate((self.counts, counts))
-        place, size = (np.cumsum(size) - size)[at], size[at]
-        self.asked[known[known >= 0]] = True
-        self._remember(pieces, new[sizes[new] <= LONGEST_REMEMBERED], every, place, size)
-        return every[spread(place[which], size[which])], size[which]
-
-    def _remember(self, pieces: pa.Array, new: np.ndarray, ids: np.ndarray, place: np.ndarray, size: np.ndarray) -> None:
-        if len(self.counts) + len(new) > PIECES:
+        made = pieces.take(pa.array(new))
+        ids, counts = self._encoded(*_members(made))
+        ids, counts = np.concatenate((self.ids, ids)), np.concatenate((self.counts, counts))
+        places = 4 * np.concatenate(([0], np.cumsum(counts)))
+        taken, ends = _members(_stretches(ids.view(np.uint8), places).take(pa.array(at[which])))
+        self._remember(made, ids, counts)
+        return taken[: ends[-1]].view("<u4"), ends[1:] >> 2
+
+    def _remember(self, new: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Keep short ones of the ``new`` pieces, whose ids and counts come after those that are remembered."""
+        old = len(self.counts)
+        kept, begins = np.arange(old), np.cumsum(counts) - counts
+        short = np.flatnonzero(np.diff(_members(new)[1]) <= LONGEST_REMEMBERED)
+        if old + len(short) > PIECES:
             # What was not asked for since the last time goes, and the older ones of the others, if those are many.
             kept = np.flatnonzero(self.asked)[-(PIECES // 2) :]
-            begins = np.cumsum(self.counts) - self.counts
-            self.ids = self.ids[spread(begins[kept], self.counts[kept])]
-            self.pieces, self.counts = self.pieces.take(pa.array(kept)), self.counts[kept]
-            self.asked = np.zeros(len(kept), bool)
-            new = new[: PIECES - len(kept)]
-        self.pieces = pa.concat_arrays([self.pieces, pieces.take(pa.array(new))])
-        self.ids = np.concatenate((self.ids, ids[spread(place[new], size[new])]))
-        self.counts = np.concatenate((self.counts, size[new]))
-        self.asked = np.concatenate((self.asked, np.ones(len(new), bool)))
+            self.asked = np.zeros(old, bool)
+            short = short[: PIECES - len(kept)]
+        own = np.concatenate((kept, old + short))
+        self.pieces = pa.concat_arrays([self.pieces.take(pa.array(kept)) if len(kept) < old else self.pieces, new.take(pa.array(short))])
+        self.ids = ids[spread(begins[own], counts[own])] if len(own) < len(counts) else ids
+        self.counts, self.asked = counts[own], np.concatenate((self.asked[kept], np.ones(len(short), bool)))
 
     def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a large_binary array of UTF-8 texts, one text after the other, and where each text's ids end."""
@@ -204,16 +225,15 @@ class LibraryEncoder:
         edges = np.append(_piece_starts(data, at) if self.plain else np.unique(at[:-1][at[:-1] < len(data)]), len(data))
         if self._has_special(data.tobytes()):
             edges = self._uncut(data, at, edges)
-        ids, counts = [], []
+        ids, running = [], [np.zeros(1, np.int64)]
         low = 0
         while low < len(edges) - 1:
             high = max(low + 1, int(np.searchsorted(edges, edges[low] + TEXT_BLOCK, "right")) - 1)
             found = self._block(data, edges[low : high + 1])
             ids.append(found[0])
-            counts.append(found[1])
+            running.append(found[1] + running[-1][-1])
             low = high
-        running = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
-        return np.concatenate(ids), running[np.searchsorted(edges, at[1:])]
+        return np.concatenate(ids), np.concatenate(running)[np.searchsorted(edges, at[1:])]
 
     def _uncut(self, data: np.ndarray, at: np.ndarray, edges: np.ndarray) -> np.ndarray:
         """The edges without those inside texts that have a special string, which is matched across pieces."""
